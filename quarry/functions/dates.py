@@ -28,13 +28,13 @@ def lenient_iso_date(c: Column | str) -> Column:
     """ISO ``yyyy-MM-dd`` text to date, null when it does not parse."""
     s = _col(c)
     shape, layout = DATE_LAYOUTS[0]
-    return F.when(s.rlike(shape), F.try_to_date(s, F.lit(layout)))
+    return F.when(s.rlike(shape), F.try_to_date(s, layout))
 
 
 def parse_messy_date(c: Column | str) -> Column:
     """First layout that parses wins; null for junk, empty text and null."""
     s = _col(c)
-    candidates = [F.when(s.rlike(shape), F.try_to_date(s, F.lit(layout)))
+    candidates = [F.when(s.rlike(shape), F.try_to_date(s, layout))
                   for shape, layout in DATE_LAYOUTS]
     return F.coalesce(*candidates)
 

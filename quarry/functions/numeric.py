@@ -61,3 +61,9 @@ def pct_money(part: Column | str, whole: Column | str) -> Column:
     den = _cents(_col(whole))
     sign_fix = F.when(den < 0, -num).otherwise(num)
     return _cents_to_money(_half_up_div(sign_fix, F.abs(den)))
+
+
+def pct_of_counts(part: Column | str, whole: Column | str) -> Column:
+    """ROUND(100 * part / whole, 2) for row counts (whole > 0)."""
+    num = _col(part).cast("decimal(38,0)") * F.lit(10000)
+    return _cents_to_money(_half_up_div(num, _col(whole).cast("decimal(38,0)")))

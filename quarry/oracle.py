@@ -364,7 +364,209 @@ ORDER BY customer_key LIMIT 15""")
     return q
 
 
+
+
+# ------------------------------------------------------------------ raw / silver
+def strip(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+PARSE_FORMATS = "['%Y-%m-%d', '%m/%d/%Y', '%d-%b-%Y', '%Y/%m/%d']"
+
+RAW_CTES = f"""
+raw_customers AS (
+    SELECT customer_id, first_name, last_name,
+           CASE WHEN customer_id % 33 = 0
+                THEN chr(9) || ' ' || upper('customer.000000000@example.com') || '  '
+                ELSE email END AS email,
+           strftime(signup_date, '%Y-%m-%d') AS signup_date, city, country
+    FROM dim_customer
+),
+raw_products AS (SELECT product_id, product_name, category, unit_price FROM dim_product),
+raw_stores AS (SELECT store_id, store_name, city, country FROM dim_store),
+raw_orders AS (
+    SELECT order_id, customer_id,
+           CASE WHEN order_id % 307 = 0 THEN -1 ELSE product_id END AS product_id,
+           store_id,
+           CASE WHEN order_id % 211 = 0 THEN 'not-a-date'
+                WHEN order_id % 10 = 0 THEN strftime(order_date, '%m/%d/%Y')
+                WHEN order_id % 10 = 1 THEN strftime(order_date, '%d-%b-%Y')
+                WHEN order_id % 10 = 2 THEN strftime(order_date, '%Y/%m/%d')
+                ELSE strftime(order_date, '%Y-%m-%d') END AS order_date,
+           CASE WHEN order_id % 97 = 0 THEN NULL WHEN order_id % 193 = 0 THEN -quantity
+                ELSE quantity END AS quantity,
+           channel
+    FROM order_lines
+),
+clean_customers AS (
+    SELECT customer_id, {strip('first_name')} AS first_name, {strip('last_name')} AS last_name,
+           lower({strip('email')}) AS email,
+           CAST(try_strptime(signup_date, '%Y-%m-%d') AS DATE) AS signup_date,
+           {strip('city')} AS city, {strip('country')} AS country
+    FROM raw_customers
+),
+clean_products AS (
+    SELECT product_id, {strip('product_name')} AS product_name, {strip('category')} AS category, unit_price
+    FROM raw_products
+),
+clean_stores AS (
+    SELECT store_id, {strip('store_name')} AS store_name, {strip('city')} AS city, {strip('country')} AS country
+    FROM raw_stores
+),
+parsed_orders AS (
+    SELECT order_id, customer_id, product_id, store_id,
+           CAST(try_strptime(order_date, {PARSE_FORMATS}) AS DATE) AS order_date, quantity, channel
+    FROM raw_orders
+),
+quality AS (
+    SELECT *, CASE WHEN order_date IS NULL THEN 'unparseable_date'
+                   WHEN quantity IS NULL THEN 'null_quantity'
+                   WHEN quantity <= 0 THEN 'non_positive_quantity' END AS q_reason
+    FROM parsed_orders
+),
+tagged AS (
+    SELECT order_id, customer_id, product_id, store_id, order_date, quantity, channel,
+           COALESCE(q_reason,
+                    CASE WHEN customer_id IN (SELECT customer_id FROM clean_customers)
+                          AND product_id IN (SELECT product_id FROM clean_products)
+                          AND store_id IN (SELECT store_id FROM clean_stores)
+                         THEN NULL ELSE 'orphan_foreign_key' END) AS rejection_reason
+    FROM quality
+),
+clean_orders AS (
+    SELECT order_id, customer_id, product_id, store_id, order_date, quantity, channel
+    FROM tagged WHERE rejection_reason IS NULL
+)"""
+
+
+def with_raw(extra: str, select: str) -> str:
+    return with_star(RAW_CTES + (",\n" + extra if extra.strip() else ""), select)
+
+
+ORDER_COLS = "order_id, customer_id, product_id, store_id, order_date, quantity, channel"
+
+
+def _scd1_sql(table: str, nat: str, key: str, attrs: list[str], first_where: str) -> str:
+    a = ", ".join(attrs)
+    typed = ", ".join("CAST(try_strptime(signup_date, '%Y-%m-%d') AS DATE) AS signup_date"
+                      if x == "signup_date" else x for x in attrs)
+    merged = ", ".join(f"CASE WHEN i.{nat} IS NOT NULL THEN i.{x} ELSE e.{x} END AS {x}" for x in attrs)
+    return with_raw(f"""existing AS (
+    SELECT CAST(row_number() OVER (ORDER BY {nat}) AS BIGINT) AS {key}, {nat}, {typed}
+    FROM raw_{table} WHERE {first_where}
+),
+incoming AS (SELECT {nat}, {a} FROM clean_{table})""", f"""
+SELECT e.{key}, e.{nat}, {merged}
+FROM existing e LEFT JOIN incoming i ON e.{nat} = i.{nat}
+UNION ALL
+SELECT CAST((SELECT COALESCE(max({key}), 0) FROM existing) + row_number() OVER (ORDER BY i.{nat}) AS BIGINT)
+           AS {key}, i.{nat}, {", ".join("i." + x for x in attrs)}
+FROM incoming i WHERE i.{nat} NOT IN (SELECT {nat} FROM existing)""")
+
+
+def _count_rule(table_sql: str, table: str, name: str, predicate_violates: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{name}' AS constraint_name, "
+            f"CAST(count(*) FILTER (WHERE {predicate_violates}) AS BIGINT) AS violations FROM {table_sql}")
+
+
+def _unique_rule(table_sql: str, table: str, key: str) -> str:
+    return (f"SELECT '{table}' AS table_name, 'unique:{key}' AS constraint_name, "
+            f"CAST(COALESCE(sum(n), 0) AS BIGINT) AS violations FROM "
+            f"(SELECT {key}, count(*) AS n FROM {table_sql} GROUP BY {key} HAVING count(*) > 1)")
+
+
+def _fk_rule(table_sql: str, table: str, col: str, parent_sql: str, pcol: str) -> str:
+    return (f"SELECT '{table}' AS table_name, 'foreign_key:{col}' AS constraint_name, "
+            f"CAST(count(*) AS BIGINT) AS violations FROM {table_sql} "
+            f"WHERE {col} IS NOT NULL AND {col} NOT IN (SELECT {pcol} FROM {parent_sql} WHERE {pcol} IS NOT NULL)")
+
+
+def _constraints_sql() -> str:
+    parts = []
+    spec = [
+        ("dim_customer", "clean_customers", ["customer_id", "first_name", "last_name", "email", "country"],
+         "customer_id", {}, {"first_name": 100, "last_name": 100, "email": 255, "city": 150, "country": 150}),
+        ("dim_product", "raw_products", ["product_id", "product_name", "category", "unit_price"],
+         "product_id", {"unit_price>=0": "unit_price < 0"}, {"product_name": 255, "category": 100}),
+        ("dim_store", "raw_stores", ["store_id", "store_name", "city", "country"],
+         "store_id", {}, {"store_name": 255, "city": 150, "country": 150}),
+        ("orders", "parsed_orders", ["order_id", "order_date", "quantity", "channel"],
+         None, {"quantity>0": "quantity <= 0"}, {"channel": 50}),
+    ]
+    for table, src, nn, uq, checks, lengths in spec:
+        for c in nn:
+            parts.append(_count_rule(src, table, f"not_null:{c}", f"{c} IS NULL"))
+        for nm, viol in checks.items():
+            parts.append(_count_rule(src, table, f"check:{nm}", viol))
+        for c, n in lengths.items():
+            parts.append(_count_rule(src, table, f"length:{c}<={n}", f"length({c}) > {n}"))
+        if uq:
+            parts.append(_unique_rule(src, table, uq))
+    for col, parent in (("customer_id", "clean_customers"), ("product_id", "raw_products"),
+                        ("store_id", "raw_stores")):
+        parts.append(_fk_rule("parsed_orders", "orders", col, parent, col))
+    return with_raw("", "\nUNION ALL\n".join(parts))
+
+
+def etl_sql() -> dict[str, str]:
+    q = {}
+    q["parse_dates"] = with_raw("", f"""
+SELECT order_id, order_date AS order_date_text,
+       CAST(try_strptime(order_date, {PARSE_FORMATS}) AS DATE) AS order_date FROM raw_orders""")
+    q["clean_customers"] = with_raw("", "SELECT * FROM clean_customers")
+    q["clean_products"] = with_raw("", "SELECT * FROM clean_products")
+    q["clean_stores"] = with_raw("", "SELECT * FROM clean_stores")
+    q["clean_orders"] = with_raw("", "SELECT * FROM clean_orders")
+    q["quarantine_orders"] = with_raw("", f"SELECT {ORDER_COLS}, rejection_reason FROM tagged "
+                                          "WHERE rejection_reason IS NOT NULL")
+    q["quality_rejects"] = q["quarantine_orders"]
+    q["reject_reasons"] = with_raw("", "SELECT rejection_reason, count(*) AS rows FROM tagged "
+                                       "WHERE rejection_reason IS NOT NULL GROUP BY rejection_reason")
+    q["fk_orphans"] = with_raw("", f"SELECT {ORDER_COLS}, rejection_reason FROM tagged "
+                                   "WHERE rejection_reason = 'orphan_foreign_key'")
+    q["dq_customers"] = with_raw("", """
+SELECT count(*) AS rows, count(*) FILTER (WHERE city IS NULL) AS null_cities,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT email FROM clean_customers)) AS duplicate_emails
+FROM clean_customers""")
+    rej = "count(*) FILTER (WHERE rejection_reason IS NOT NULL)"
+    q["dq_orders"] = with_raw("", f"""
+SELECT count(*) AS rows_in, count(*) FILTER (WHERE rejection_reason IS NULL) AS rows_clean,
+       {rej} AS rows_rejected,
+       {to_money(half_up_div(f'CAST({rej} AS HUGEINT) * 10000', 'CAST(count(*) AS HUGEINT)'))} AS reject_rate_pct
+FROM tagged""")
+    q["scan_csv"] = with_raw("", "SELECT * FROM raw_orders")
+    q["sink_parquet"] = q["clean_customers"]
+    q["fact_revenue"] = with_raw("", """
+SELECT o.order_id, o.customer_id, o.product_id, o.store_id, o.order_date, o.channel, o.quantity,
+       p.unit_price, CAST(o.quantity * p.unit_price AS DECIMAL(12,2)) AS revenue
+FROM clean_orders o JOIN clean_products p ON o.product_id = p.product_id""")
+    q["fact_sales"] = with_star("", "SELECT order_id, customer_key, product_key, store_key, date_key, channel, "
+                                    "quantity, unit_price, revenue FROM fact_sales")
+    q["fact_skipped"] = with_raw("", """
+SELECT q.order_id, q.customer_id, q.product_id, q.store_id,
+       c.customer_key IS NULL AS missing_customer, p.product_key IS NULL AS missing_product,
+       s.store_key IS NULL AS missing_store
+FROM (SELECT * FROM quality WHERE q_reason IS NULL) q
+LEFT JOIN dim_customer c ON q.customer_id = c.customer_id
+LEFT JOIN dim_product p ON q.product_id = p.product_id
+LEFT JOIN dim_store s ON q.store_id = s.store_id
+WHERE c.customer_key IS NULL OR p.product_key IS NULL OR s.store_key IS NULL""")
+    q["surrogate_keys"] = with_star("", "SELECT customer_key, customer_id FROM dim_customer")
+    q["dim_date"] = with_star("", "SELECT * FROM dim_date")
+    q["insert_only_merge"] = with_star("", "SELECT * FROM dim_date")
+    q["scd1_customer"] = _scd1_sql("customers", "customer_id", "customer_key",
+                                   ["first_name", "last_name", "email", "signup_date", "city", "country"],
+                                   "signup_date < '1994-07-01'")
+    q["scd1_product"] = _scd1_sql("products", "product_id", "product_key",
+                                  ["product_name", "category", "unit_price"], "unit_price < 1500")
+    q["scd1_store"] = _scd1_sql("stores", "store_id", "store_key", ["store_name", "city", "country"],
+                                "country <= 'NATION_5'")
+    q["constraint_violations"] = _constraints_sql()
+    return q
+
+
 def oracle_queries() -> dict[str, str]:
     out = {}
     out.update(report_sql())
+    out.update(etl_sql())
     return out

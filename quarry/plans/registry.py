@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.plans.etl_queries import ETL_QUERIES
 from quarry.plans.reports import REPORTS
 from quarry.sources.tpch_star import star_for
 
@@ -25,4 +26,5 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for name in REPORTS:
         out[name] = _report(name)
+    out.update(ETL_QUERIES)
     return out
