@@ -116,16 +116,15 @@ def tag_orders(raw_orders: DataFrame, customers: DataFrame, products: DataFrame,
                stores: DataFrame) -> DataFrame:
     """Quality rules, then foreign keys on the rows that passed them.
 
-    One reason per rejected row (quality first); null reason = clean row.
+    One pass over the raw orders: the key flags are joined to every row and
+    only consulted where the quality rules passed, so each rejected row gets
+    exactly one reason (quality first) and a null reason marks a clean row.
     """
     q = tag_order_quality(raw_orders)
-    passed = q.where(F.col("rejection_reason").isNull())
-    failed = q.where(F.col("rejection_reason").isNotNull())
-    fk = tag_orphans(passed.drop("rejection_reason"), customers, products, stores)
-    fk = fk.withColumn("rejection_reason",
-                       F.when(F.col("fk_ok"), F.lit(None).cast("string")).otherwise(F.lit(ORPHAN_FOREIGN_KEY)))
-    return (failed.select(*ORDER_COLUMNS, "rejection_reason")
-            .unionByName(fk.select(*ORDER_COLUMNS, "rejection_reason")))
+    fk = tag_orphans(q, customers, products, stores)
+    reason = F.coalesce(F.col("rejection_reason"),
+                        F.when(~F.col("fk_ok"), F.lit(ORPHAN_FOREIGN_KEY)))
+    return fk.select(*ORDER_COLUMNS, reason.alias("rejection_reason"))
 
 
 def merge_rejects(*frames: DataFrame) -> DataFrame:

@@ -84,8 +84,11 @@ def exact_percentile_cont(df: DataFrame, value: str, p: float, out: str = "pct")
     double, as in the SQL standard function. The row count enters as a scalar
     subquery, so no join with a one-row table is needed.
     """
-    vals = df.select(F.col(value).cast("double").alias("_q_v")).where(F.col("_q_v").isNotNull())
-    numbered = global_row_number(vals, [F.col("_q_v")], out="_q_rn")
+    # the row hash only orders equal values, so a very frequent value is spread
+    # over several sorted partitions instead of landing in one
+    vals = (df.select(F.col(value).cast("double").alias("_q_v"), F.xxhash64(*df.columns).alias("_q_h"))
+            .where(F.col("_q_v").isNotNull()))
+    numbered = global_row_number(vals, [F.col("_q_v"), F.col("_q_h")], out="_q_rn")
     n = vals.agg(F.count(F.lit(1)).alias("_q_cnt")).scalar()
     pos = F.lit(p) * (n - 1)
     lo = F.floor(pos) + 1
