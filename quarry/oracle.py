@@ -562,6 +562,7 @@ WHERE c.customer_key IS NULL OR p.product_key IS NULL OR s.store_key IS NULL""")
     q["scd1_store"] = _scd1_sql("stores", "store_id", "store_key", ["store_name", "city", "country"],
                                 "country <= 'NATION_5'")
     q["constraint_violations"] = _constraints_sql()
+    q["stream_ingest_orders"] = with_raw("", f"SELECT {ORDER_COLS}, rejection_reason FROM tagged")
     return q
 
 
