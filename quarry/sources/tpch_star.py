@@ -201,3 +201,12 @@ def raw_tables(spark: SparkSession, data_dir: str) -> Raw:
         "channel",
     )
     return Raw(customers, product_source(t), store_source(t), orders)
+
+
+def register_star_views(star: Star, prefix: str = "") -> list[str]:
+    """Expose the star tables as temporary views for ``spark.sql`` queries."""
+    names = []
+    for name in ("dim_customer", "dim_product", "dim_store", "dim_date", "fact_sales"):
+        getattr(star, name).createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names

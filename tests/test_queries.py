@@ -83,3 +83,14 @@ def test_plan_has_no_cartesian_or_python_udf(spark, name):
     plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_sql_over_registered_views(spark):
+    from quarry.plans.reports import revenue_by_channel
+    from quarry.sources.tpch_star import register_star_views, star_for
+    star = star_for(spark, SMALL)
+    register_star_views(star)
+    got = spark.sql("""
+        SELECT channel, count(*) AS num_orders, CAST(SUM(revenue) AS DECIMAL(38,2)) AS total_revenue
+        FROM fact_sales GROUP BY channel""").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, revenue_by_channel(star).collect()))
