@@ -27,17 +27,3 @@ class TableSet:
             raise AttributeError(name)
         return self[name]
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cluster when its files give too few splits.
-
-    A Parquet row group is never split, so a large single-row-group file reads
-    in one task and everything pipelined after it (broadcast joins, per-row
-    expressions) stays in that task. Inputs with at least as many splits as the
-    default parallelism (the normal case for large tables) are left unchanged,
-    so no shuffle is added there.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df

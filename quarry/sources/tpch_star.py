@@ -22,12 +22,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.numeric import PRICE, revenue
+from quarry.functions.numeric import PRICE
 from quarry.operators.modeling import (
     assign_surrogate_keys, dim_date_from_range, lookup_dimension_keys, with_sale_id, year_bounds,
 )
 from quarry.session import scratch_path
-from quarry.sources.tables import TableSet, spread
+from quarry.sources.tables import TableSet
 
 # Fixed values of the test binding.
 EMAIL_DOMAIN = "@example.com"
@@ -92,7 +92,7 @@ def order_lines(t: TableSet) -> DataFrame:
     the order key (sort-merge join), only the six needed columns are read.
     """
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    li = spread(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity"))
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.col("l_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
