@@ -63,3 +63,17 @@ def test_dim_date_has_every_day(spark):
     d = dim_date_between(spark, "2023-01-01", "2025-12-31")
     assert d.count() == 1096
     assert d.select("date_key").distinct().count() == 1096
+
+
+def test_load_job_first_load_and_reload(spark):
+    from conftest import SMALL
+    from quarry.plans.ingest import silver_for
+    from quarry.plans.load import run_load
+    from quarry.session import scratch_path
+    silver = silver_for(spark, SMALL)
+    first = run_load(spark, silver, scratch_path(spark, "wh-test"))
+    again = run_load(spark, silver, scratch_path(spark, "wh-test"), previous=first)
+    assert first.fact_sales.count() == silver.orders.count() == again.fact_sales.count()
+    keys = lambda s: sorted(map(tuple, s.dim_customer.select("customer_key", "customer_id").collect()))
+    assert keys(first) == keys(again)
+    assert first.fact_sales.select("sale_id").distinct().count() == first.fact_sales.count()
