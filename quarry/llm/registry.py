@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import byte_bpe, mixing, quality_rules, secrets, simhash
+from quarry.llm import (byte_bpe, html_text, language_id, mixing, quality_rules, secrets, simhash,
+                        token_files, toxicity)
 from quarry.llm.common import table
 
 
@@ -14,6 +15,10 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -22,6 +27,18 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(table(spark, sf_dir, "documents"))
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.mixing_plan(docs, mixing.domain_labels(docs, table(spark, sf_dir, "labels")))
@@ -38,6 +55,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op3_quality_rules, op4_byte_bpe, op8_mixing,
-                            op10_simhash_near_dups, pipeline)}
+    f.__name__: f for f in (
+        op1_secret_scans, op2_language_id, op3_quality_rules, op4_byte_bpe, op5_token_files,
+        op6_html_text, op7_toxicity, op8_mixing, op10_simhash_near_dups, pipeline)}
 SQL: dict[str, str] = {}
