@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import (byte_bpe, html_text, language_id, mixing, quality_rules, secrets, simhash,
-                        token_files, toxicity)
+from quarry.llm import (byte_bpe, html_text, language_id, mixing, permutation_index, quality_rules,
+                        secrets, simhash, token_files, toxicity)
 from quarry.llm.common import table
 
 
@@ -44,6 +44,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_plan(docs, mixing.domain_labels(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op10_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dups(table(spark, sf_dir, "documents"))
 
@@ -57,5 +61,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scans, op2_language_id, op3_quality_rules, op4_byte_bpe, op5_token_files,
-        op6_html_text, op7_toxicity, op8_mixing, op10_simhash_near_dups, pipeline)}
+        op6_html_text, op7_toxicity, op8_mixing, op9_nearest_neighbours, op10_simhash_near_dups, pipeline)}
 SQL: dict[str, str] = {}
