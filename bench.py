@@ -33,7 +33,7 @@ def main() -> None:
     from quarry.plans import ingest as ingest_mod
     from quarry.plans.etl_queries import ETL_QUERIES
     from quarry.plans.reports import REPORTS
-    from quarry.sources import tpch_star
+    from quarry.plans import load
 
     times: dict[str, float] = {}
 
@@ -46,8 +46,8 @@ def main() -> None:
     spark.read.parquet(f"{sf_dir}/region.parquet").collect()
 
     timed("ingest", lambda: ingest_mod.silver_for(spark, sf_dir))
-    timed("load_star", lambda: tpch_star.star_for(spark, sf_dir))
-    star = tpch_star.star_for(spark, sf_dir)
+    timed("load_star", lambda: load.star_for(spark, sf_dir))
+    star = load.star_for(spark, sf_dir)
     for name, fn in REPORTS.items():
         timed(name, lambda fn=fn: fn(star).collect())
     for name in ("clean_orders", "quarantine_orders", "fact_revenue", "dq_customers", "dq_orders",

@@ -66,7 +66,3 @@ def calendar_columns(d: Column | str) -> list[Column]:
         F.date_format(x, "EEEE").alias("day_name"),
         (wd >= 5).alias("is_weekend"),
     ]
-
-
-def month_start(d: Column | str) -> Column:
-    return F.trunc(_col(d), "month")

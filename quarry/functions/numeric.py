@@ -8,6 +8,8 @@ that sits on a rounding boundary.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,8 +23,8 @@ def _col(c: Column | str) -> Column:
 
 
 def revenue(quantity: Column | str, unit_price: Column | str) -> Column:
-    """quantity * unit_price, exact, stored as decimal(12,2)."""
-    return (_col(quantity).cast("decimal(10,0)") * _col(unit_price).cast(PRICE)).cast(REVENUE)
+    """quantity * unit_price, exact, stored as decimal(12,2); null if it doesn't fit."""
+    return (_col(quantity).cast("decimal(20,0)") * _col(unit_price).cast(PRICE)).try_cast(REVENUE)
 
 
 def money(c: Column | str) -> Column:
@@ -44,7 +46,7 @@ def _half_up_div(num: Column, den: Column) -> Column:
 
 
 def _cents_to_money(q: Column) -> Column:
-    return (q.cast("double") / F.lit(100.0)).cast(MONEY)
+    return (q * F.lit(Decimal("0.01"))).cast(MONEY)
 
 
 def avg_money(total: Column | str, count: Column | str) -> Column:

@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 
 from quarry.functions.dates import lenient_iso_date, parse_messy_date
 from quarry.functions.text import normalise_email, strip_chars
+from quarry.sources.files import CORRUPT_RECORD
 
 # Rejection reasons, in precedence order.
+MALFORMED_RECORD = "malformed_record"
+MISSING_ORDER_ID = "missing_order_id"
 UNPARSEABLE_DATE = "unparseable_date"
 NULL_QUANTITY = "null_quantity"
 NON_POSITIVE_QUANTITY = "non_positive_quantity"
@@ -65,10 +68,18 @@ def quality_reason(date: Column, quantity: Column) -> Column:
 
 
 def tag_order_quality(raw_orders: DataFrame) -> DataFrame:
-    """Parse the order date and add ``rejection_reason`` (null when valid)."""
+    """Parse the order date and add ``rejection_reason`` (null when valid).
+
+    A record the reader could not parse (``_corrupt_record``, see
+    :func:`quarry.sources.files.read_csv`) and an order without id are rejected
+    before the other rules look at their nulls.
+    """
+    bad = (F.col(CORRUPT_RECORD).isNotNull() if CORRUPT_RECORD in raw_orders.columns else F.lit(False))
     parsed = raw_orders.withColumn("order_date", parse_messy_date(F.col("order_date").cast("string")))
-    return parsed.withColumn("rejection_reason",
-                             quality_reason(F.col("order_date"), F.col("quantity")))
+    reason = (F.when(bad, F.lit(MALFORMED_RECORD))
+              .when(F.col("order_id").isNull(), F.lit(MISSING_ORDER_ID))
+              .otherwise(quality_reason(F.col("order_date"), F.col("quantity"))))
+    return parsed.withColumn("rejection_reason", reason).drop(CORRUPT_RECORD)
 
 
 def clean_orders(raw_orders: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,14 +6,13 @@ except single scalars (a maximum key).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.dates import calendar_columns, date_key
 from quarry.functions.numeric import PRICE, revenue
 from quarry.operators.ordering import global_row_number
+from quarry.operators.quality import require_key
 
 
 # --------------------------------------------------------------------------- K1
@@ -21,11 +20,11 @@ def assign_surrogate_keys(df: DataFrame, natural_key: str, key_col: str,
                           start_after: int = 0) -> DataFrame:
     """Dense surrogate keys ``start_after + 1 ...`` in natural-key order.
 
-    The natural key must be unique (see ``constraints.unique_violations``).
-    The numbering is distributed (:func:`global_row_number`), so no task sees
+    The natural key must be unique and not null (:func:`quarry.operators.quality.require_key`
+    checks it; the load does so before numbering). The numbering is distributed (:func:`global_row_number`), so no task sees
     more than one sorted range of keys.
     """
-    numbered = global_row_number(df, [F.col(natural_key)], out="_q_rn")
+    numbered = global_row_number(df, [F.col(natural_key)], out="_q_rn", unique=True)
     return (numbered.withColumn(key_col, (F.col("_q_rn") + F.lit(start_after)).cast("long"))
             .drop("_q_rn")
             .select(key_col, *[c for c in df.columns]))
@@ -42,20 +41,22 @@ def scd1_merge(existing: DataFrame, incoming: DataFrame, natural_key: str, key_c
     * only in ``existing``: row kept unchanged;
     * only in ``incoming``: new key after the current maximum, ``loaded_at = now``.
 
-    One full outer join on the natural key (one shuffle of each side).
+    Both natural keys must be unique and not null; a repeated or null incoming key
+    stops the merge before anything is numbered. Kept rows come from one left join,
+    new ones from one anti-join (either side may be skewed or split), and the
+    largest key from the existing dimension alone.
     """
     now = now if now is not None else F.current_timestamp()
-    e = existing.select(natural_key, key_col, loaded_at, *attrs,
-                        F.lit(True).alias("_q_e"))
-    i = incoming.select(natural_key, *[F.col(a).alias(f"_q_i_{a}") for a in attrs],
+    require_key(existing, natural_key, "existing")
+    require_key(incoming, natural_key, "incoming")
+    i = incoming.select(F.col(natural_key).alias("_q_id"), *[F.col(a).alias(f"_q_i_{a}") for a in attrs],
                         F.lit(True).alias("_q_i"))
-    joined = e.join(i, natural_key, "full_outer")
-    merged_attrs = [F.when(F.col("_q_i"), F.col(f"_q_i_{a}")).otherwise(F.col(a)).alias(a)
-                    for a in attrs]
-    kept = (joined.where(F.col("_q_e").isNotNull())
-            .select(key_col, natural_key, *merged_attrs, loaded_at))
-    fresh = (joined.where(F.col("_q_e").isNull())
-             .select(natural_key, *[F.col(f"_q_i_{a}").alias(a) for a in attrs]))
+    kept = (existing.join(i, F.col(natural_key) == F.col("_q_id"), "left")
+            .select(key_col, natural_key,
+                    *[F.when(F.col("_q_i"), F.col(f"_q_i_{a}")).otherwise(F.col(a)).alias(a) for a in attrs],
+                    loaded_at))
+    fresh = (incoming.select(natural_key, *attrs)
+             .join(existing.select(natural_key), natural_key, "left_anti"))
     max_key = existing.agg(F.max(key_col)).first()[0] or 0
     fresh_keyed = (assign_surrogate_keys(fresh, natural_key, key_col, start_after=int(max_key))
                    .withColumn(loaded_at, now)
@@ -110,20 +111,21 @@ def fact_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- K8/K9
-@dataclass
-class FactLoad:
-    facts: DataFrame      # rows with every dimension key
-    skipped: DataFrame    # rows with at least one missing key, and which ones
+FACT_COLUMNS = ["order_id", "customer_key", "product_key", "store_key", "date_key", "channel",
+                "quantity", "unit_price", "revenue"]
+SKIP_COLUMNS = ["order_id", "customer_id", "product_id", "store_id", "missing_customer",
+                "missing_product", "missing_store", "revenue_too_large"]
 
 
-def lookup_dimension_keys(lines: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
-                          dim_store: DataFrame) -> FactLoad:
-    """Map natural ids to surrogate keys with three left joins, then split.
+def looked_up_lines(lines: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
+                    dim_store: DataFrame) -> DataFrame:
+    """Order lines with surrogate keys, price, revenue and a ``skipped`` flag, in one pass.
 
-    ``lines`` are order lines (order_id, customer_id, product_id, store_id,
-    order_date, channel, quantity). The product join also brings the price,
-    so the fact is priced in the same pass (revenue = quantity * unit_price).
-    The planner broadcasts a dimension only when its measured size is below
+    ``lines``: order_id, customer_id, product_id, store_id, order_date, channel,
+    quantity. Natural keys of the dimensions must be unique. Three left joins; the
+    product join also brings the price. A line is skipped if a key is missing or
+    its revenue doesn't fit decimal(12,2); the flags say why. The planner broadcasts
+    a dimension only when its measured size is below
     ``spark.sql.autoBroadcastJoinThreshold``; larger ones are sort-merge joined.
     """
     c = dim_customer.select("customer_id", "customer_key")
@@ -132,22 +134,20 @@ def lookup_dimension_keys(lines: DataFrame, dim_customer: DataFrame, dim_product
     s = dim_store.select("store_id", "store_key")
     looked = (lines.join(p, "product_id", "left")
               .join(s, "store_id", "left")
-              .join(c, "customer_id", "left"))
-    has_all = (F.col("customer_key").isNotNull() & F.col("product_key").isNotNull()
-               & F.col("store_key").isNotNull())
-    facts = looked.where(has_all).select(
-        "order_id", "customer_key", "product_key", "store_key",
-        date_key("order_date").alias("date_key"),
-        "channel", F.col("quantity").cast("int").alias("quantity"), "unit_price",
-        revenue("quantity", "unit_price").alias("revenue"),
-    )
-    skipped = looked.where(~has_all).select(
-        "order_id", "customer_id", "product_id", "store_id",
+              .join(c, "customer_id", "left")
+              .withColumn("revenue", revenue("quantity", "unit_price")))
+    too_large = F.col("revenue").isNull() & F.col("quantity").isNotNull() & F.col("unit_price").isNotNull()
+    out = looked.select(
+        "order_id", "customer_id", "product_id", "store_id", "customer_key", "product_key", "store_key",
+        date_key("order_date").alias("date_key"), "channel",
+        F.when(F.abs("quantity") < 2**31, F.col("quantity")).cast("int").alias("quantity"),
+        "unit_price", "revenue",
         F.col("customer_key").isNull().alias("missing_customer"),
         F.col("product_key").isNull().alias("missing_product"),
         F.col("store_key").isNull().alias("missing_store"),
-    )
-    return FactLoad(facts, skipped)
+        too_large.alias("revenue_too_large"))
+    return out.withColumn("skipped", F.col("missing_customer") | F.col("missing_product")
+                          | F.col("missing_store") | F.col("revenue_too_large"))
 
 
 def with_sale_id(facts: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.numeric import pct_of_counts
@@ -54,13 +54,26 @@ class TableRules:
     foreign_keys: list[tuple[str, DataFrame, str]] = field(default_factory=list)  # col, parent, parent col
 
 
+REPORT = "table_name string, constraint_name string, violations long"
+
+
+def _flagged(r: TableRules) -> DataFrame:
+    """The table with one flag per foreign key: true where the value has a parent."""
+    out = r.df
+    for i, (col, parent, pcol) in enumerate(r.foreign_keys):
+        keys = (parent.select(F.col(pcol).alias(f"_p{i}")).where(F.col(f"_p{i}").isNotNull()).distinct()
+                .withColumn(f"_f{i}", F.lit(True)))
+        out = out.join(keys, F.col(col) == F.col(f"_p{i}"), "left").drop(f"_p{i}")
+    return out
+
+
 def validate(rules: list[TableRules]) -> DataFrame:
     """One row per (table, constraint) with the number of violating rows.
 
-    NOT NULL, CHECK and length rules of a table are counted in one aggregation;
-    UNIQUE counts rows whose key occurs more than once (grouped, partially
-    aggregated); FOREIGN KEY counts non-null child values missing from the
-    parent (anti-join against the distinct parent keys).
+    A table is read once for its NOT NULL, CHECK, length and FOREIGN KEY rules:
+    parents join as distinct flagged keys, and one aggregation counts them all
+    (a null foreign key is no violation). UNIQUE counts rows whose key occurs more
+    than once (grouped, partially aggregated).
     """
     parts: list[DataFrame] = []
     for r in rules:
@@ -71,8 +84,10 @@ def validate(rules: list[TableRules]) -> DataFrame:
             exprs.append((f"check:{nm}", F.count_if(~F.coalesce(pred, F.lit(True)))))
         for c, n in r.max_length.items():
             exprs.append((f"length:{c}<={n}", F.count_if(F.length(c) > n)))
+        for i, (c, _, _) in enumerate(r.foreign_keys):
+            exprs.append((f"foreign_key:{c}", F.count_if(F.col(c).isNotNull() & F.col(f"_f{i}").isNull())))
         if exprs:
-            agg = r.df.agg(*[e.alias(f"_c{i}") for i, (_, e) in enumerate(exprs)])
+            agg = _flagged(r).agg(*[e.alias(f"_c{i}") for i, (_, e) in enumerate(exprs)])
             stack = ", ".join(f"'{nm}', _c{i}" for i, (nm, _) in enumerate(exprs))
             parts.append(agg.selectExpr(f"stack({len(exprs)}, {stack}) AS (constraint_name, violations)")
                          .withColumn("table_name", F.lit(r.name)))
@@ -81,18 +96,19 @@ def validate(rules: list[TableRules]) -> DataFrame:
                    .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations")))
             parts.append(dup.select(F.lit(f"unique:{','.join(key)}").alias("constraint_name"),
                                     "violations", F.lit(r.name).alias("table_name")))
-        for col, parent, pcol in r.foreign_keys:
-            keys = parent.select(F.col(pcol).alias(col)).distinct()
-            miss = (r.df.select(col).where(F.col(col).isNotNull()).join(keys, col, "left_anti")
-                    .agg(F.count(F.lit(1)).alias("violations")))
-            parts.append(miss.select(F.lit(f"foreign_key:{col}").alias("constraint_name"),
-                                     "violations", F.lit(r.name).alias("table_name")))
+    if not parts:
+        return SparkSession.active().createDataFrame([], REPORT)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select("table_name", "constraint_name", F.col("violations").cast("long").alias("violations"))
 
 
+def require_key(df: DataFrame, key: str, name: str) -> None:
+    """Raise unless ``key`` is unique and not null in ``df``."""
+    enforce([TableRules(name, df, not_null=[key], unique=[[key]])])
+
+
 class ConstraintViolation(Exception):
     pass
 

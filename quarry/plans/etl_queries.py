@@ -6,31 +6,30 @@ of the test tables (or the silver/star tables Spark derives from it).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.dates import lenient_iso_date, parse_messy_date
 from quarry.operators.cleaning import (
-    check_referential_integrity, clean_customers as _clean_customers,
+    ORDER_COLUMNS, ORPHAN_FOREIGN_KEY, check_referential_integrity, clean_customers as _clean_customers,
     clean_orders as _clean_orders_split, clean_products as _clean_products,
-    clean_stores as _clean_stores, merge_rejects,
+    clean_stores as _clean_stores, merge_rejects, tag_order_quality,
 )
 from quarry.operators.modeling import (
-    assign_surrogate_keys, dim_date_from_range, insert_only_merge, lookup_dimension_keys,
-    scd1_merge, year_bounds,
+    FACT_COLUMNS, SKIP_COLUMNS, assign_surrogate_keys, dim_date_from_range,
+    fact_revenue as _fact_revenue, insert_only_merge, scd1_merge, year_bounds,
 )
 from quarry.operators.quality import (
     TableRules, customer_quality, order_quality, reject_reason_counts, validate,
 )
 from quarry.plans.ingest import silver_for
-from quarry.plans.load import DIMENSIONS
+from quarry.plans.load import (
+    DIMENSIONS, Source, current, date_rules, dimension_rules, fact_rules, refresh, run_load, star_for,
+)
 from quarry.session import scratch_path
 from quarry.sources.files import RAW_SCHEMAS, read_csv, write_csv
 from quarry.sources.tables import TableSet
-from quarry.sources.tpch_star import raw_tables, star_for
-
-FACT_COLUMNS = ["order_id", "customer_key", "product_key", "store_key", "date_key", "channel",
-                "quantity", "unit_price", "revenue"]
+from quarry.sources.tpch_star import raw_tables, source_signature
 
 # Split points of the two-batch dimension loads (first batch = rows before them).
 FIRST_BATCH_SIGNUP_BEFORE = "1994-07-01"
@@ -71,24 +70,45 @@ def reject_reasons(spark: SparkSession, d: str) -> DataFrame:
     return reject_reason_counts(silver_for(spark, d).tagged)
 
 
-def fk_orphans(spark: SparkSession, d: str) -> DataFrame:
-    """Quality-passed orders whose customer, product or store is unknown."""
+def _referential(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(valid, orphans, quality rejects) of the raw orders."""
     raw = raw_tables(spark, d)
-    passed, _ = _clean_orders_split(raw.orders)
-    _, orphans = check_referential_integrity(passed, _clean_customers(raw.customers),
-                                             _clean_products(raw.products), _clean_stores(raw.stores))
-    return orphans
+    passed, rejected = _clean_orders_split(raw.orders)
+    valid, orphans = check_referential_integrity(passed, _clean_customers(raw.customers),
+                                                 _clean_products(raw.products), _clean_stores(raw.stores))
+    return valid, orphans, rejected
+
+
+def fk_valid(spark: SparkSession, d: str) -> DataFrame:
+    """Quality-passed orders whose customer, product and store are known."""
+    return _referential(spark, d)[0].select(*ORDER_COLUMNS)
+
+
+def fk_orphans(spark: SparkSession, d: str) -> DataFrame:
+    """Quality-passed orders whose customer, product or store is unknown or null."""
+    return _referential(spark, d)[1]
 
 
 def quality_rejects(spark: SparkSession, d: str) -> DataFrame:
     """D4/D6/D8 without the stored silver: quality rejects and FK orphans merged."""
-    raw = raw_tables(spark, d)
-    passed, rejected = _clean_orders_split(raw.orders)
-    _, orphans = check_referential_integrity(passed, _clean_customers(raw.customers),
-                                             _clean_products(raw.products), _clean_stores(raw.stores))
+    _, orphans, rejected = _referential(spark, d)
     return merge_rejects(rejected, orphans)
 
 
+def malformed_records(spark: SparkSession, d: str) -> DataFrame:
+    """S2 + D4: raw orders landed as text with words for numbers (k%401 = 0: quantity,
+    k%409 = 0: order id); lines by reason, clean ones under ``clean``."""
+    path, k = scratch_path(spark, "raw_orders_text"), F.col("order_id")
+    text = raw_tables(spark, d).orders.select(
+        F.when(k % 409 == 0, F.lit("abc")).otherwise(k.cast("string")).alias("order_id"),
+        "customer_id", "product_id", "store_id", "order_date",
+        F.when(k % 401 == 0, F.lit("two")).otherwise(F.col("quantity").cast("string")).alias("quantity"), "channel")
+    write_csv(text, path)
+    tagged = tag_order_quality(read_csv(spark, path, RAW_SCHEMAS["orders"]))
+    return (tagged.groupBy(F.coalesce("rejection_reason", F.lit("clean")).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
 def dq_customers(spark: SparkSession, d: str) -> DataFrame:
     return customer_quality(_clean_customers(raw_tables(spark, d).customers))
 
@@ -101,7 +121,7 @@ def scan_csv(spark: SparkSession, d: str) -> DataFrame:
     """Raw orders written as headered CSV and read back with the schema."""
     path = scratch_path(spark, "raw_orders_csv")
     write_csv(raw_tables(spark, d).orders, path)
-    return read_csv(spark, path, RAW_SCHEMAS["orders"])
+    return read_csv(spark, path, RAW_SCHEMAS["orders"]).select(*RAW_SCHEMAS["orders"].names)
 
 
 def sink_parquet(spark: SparkSession, d: str) -> DataFrame:
@@ -110,15 +130,20 @@ def sink_parquet(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fact_revenue(spark: SparkSession, d: str) -> DataFrame:
-    """S3 + K7: SQL over the silver Parquet files: orders priced by product."""
+    """K7: clean orders priced by product."""
+    silver = silver_for(spark, d)
+    return _fact_revenue(silver.orders, silver.products)
+
+
+def scan_parquet(spark: SparkSession, d: str) -> DataFrame:
+    """S3: SQL straight over the silver Parquet folders: units and lines by product."""
     s = silver_for(spark, d)
     return spark.sql(f"""
-        SELECT o.order_id, o.customer_id, o.product_id, o.store_id, o.order_date, o.channel,
-               o.quantity, p.unit_price,
-               CAST(CAST(o.quantity AS DECIMAL(10,0)) * p.unit_price AS DECIMAL(12,2)) AS revenue
+        SELECT o.product_id, p.product_name, SUM(o.quantity) AS units, COUNT(*) AS lines
         FROM parquet.`{s.location}/orders_tagged` o
         JOIN parquet.`{s.location}/products` p ON o.product_id = p.product_id
-        WHERE o.rejection_reason IS NULL""")
+        WHERE o.rejection_reason IS NULL
+        GROUP BY o.product_id, p.product_name""")
 
 
 def fact_sales(spark: SparkSession, d: str) -> DataFrame:
@@ -126,12 +151,40 @@ def fact_sales(spark: SparkSession, d: str) -> DataFrame:
     return star_for(spark, d).fact_sales.select(*FACT_COLUMNS)
 
 
+def _passed_source(spark: SparkSession, d: str) -> Source:
+    """Silver dimensions and the orders that passed the quality rules, orphans among them."""
+    s = silver_for(spark, d)
+    reason = F.col("rejection_reason")
+    passed = s.tagged.where(reason.isNull() | (reason == ORPHAN_FOREIGN_KEY)).select(*ORDER_COLUMNS)
+    return Source(s.customers, s.products, s.stores, passed)
+
+
+_LOADS: dict = {}
+
+
 def fact_skipped(spark: SparkSession, d: str) -> DataFrame:
-    """K9: quality-passed orders that find no dimension key (here: unknown products)."""
-    star = star_for(spark, d)
-    raw = raw_tables(spark, d)
-    passed, _ = _clean_orders_split(raw.orders)
-    return lookup_dimension_keys(passed, star.dim_customer, star.dim_product, star.dim_store).skipped
+    """K9: quality-passed orders that find no dimension key, as the load wrote them."""
+    key = (spark.sparkContext.applicationId, source_signature(spark, d))
+    if key not in _LOADS:
+        _LOADS[key] = run_load(spark, _passed_source(spark, d), scratch_path(spark, "raw_star"))
+    return _LOADS[key].skipped.select(*SKIP_COLUMNS)
+
+
+def fact_full_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """Raw -> silver -> star twice: a first version without the later customers and
+    with other product names, then the whole batch; facts of the current version."""
+    warehouse = scratch_path(spark, "warehouse")
+    full = _passed_source(spark, d)
+    first = Source(full.customers.where(F.col("signup_date") < FIRST_BATCH_SIGNUP_BEFORE),
+                   full.products.withColumn("product_name", F.concat("product_name", F.lit(" (old)"))),
+                   full.stores, full.orders)
+    refresh(spark, warehouse, first)
+    refresh(spark, warehouse, full)
+    star = current(spark, warehouse)
+    return (star.fact_sales.join(star.dim_customer.select("customer_key", "customer_id"), "customer_key")
+            .join(star.dim_product.select("product_key", "product_name"), "product_key")
+            .join(star.dim_store.select("store_key", "store_id"), "store_key")
+            .select("order_id", "customer_id", "product_name", "store_id", "date_key", "quantity", "revenue"))
 
 
 def surrogate_keys(spark: SparkSession, d: str) -> DataFrame:
@@ -145,15 +198,18 @@ def dim_date(spark: SparkSession, d: str) -> DataFrame:
 
 
 def insert_only_merge_dates(spark: SparkSession, d: str) -> DataFrame:
-    """K6: calendar of a first load (to 1998) merged with the full calendar, insert-only."""
+    """K6: a first calendar (to 1998, day names in capitals) and the full one, insert-only:
+    days met before keep what they have."""
     orders = TableSet(spark, d).orders
     b = year_bounds(orders, "o_orderdate")
     first = dim_date_from_range(b.select("start", F.to_date(F.lit(FIRST_BATCH_CALENDAR_END)).alias("end")))
     full = dim_date_from_range(b)
-    return insert_only_merge(first, full, "date_key")
+    return insert_only_merge(first.withColumn("day_name", F.upper("day_name")), full, "date_key")
 
 
 def _scd1(spark: SparkSession, d: str, name: str, first_batch) -> DataFrame:
+    """First batch as landed (white space and all), then the cleaned table without the
+    ids divisible by 11: those met before stay as they were."""
     raw = raw_tables(spark, d)
     table, nat, key, attrs = DIMENSIONS[name]
     raw_df = getattr(raw, table)
@@ -163,15 +219,15 @@ def _scd1(spark: SparkSession, d: str, name: str, first_batch) -> DataFrame:
         first = first.withColumn("signup_date", lenient_iso_date("signup_date"))
     existing = (assign_surrogate_keys(first.select(nat, *attrs), nat, key)
                 .withColumn("loaded_at", F.current_timestamp()))
-    merged = scd1_merge(existing, cleaner(raw_df).select(nat, *attrs), nat, key, attrs)
-    return merged.select(key, nat, *attrs)
+    incoming = cleaner(raw_df).where(F.col(nat) % 11 != 0).select(nat, *attrs)
+    return scd1_merge(existing, incoming, nat, key, attrs).select(key, nat, *attrs)
 
 
 def scd1_customer(spark: SparkSession, d: str) -> DataFrame:
-    """K2: raw customers who signed up before July 1994 loaded first, then all
-    cleaned customers merged (attributes overwritten, keys kept, new keys appended)."""
+    """K2: raw customers with ids under 900 or divisible by 4 loaded first, then all cleaned
+    ones merged (attributes overwritten, keys kept, new keys appended)."""
     return _scd1(spark, d, "dim_customer",
-                 lambda df: df.where(F.col("signup_date") < FIRST_BATCH_SIGNUP_BEFORE))
+                 lambda df: df.where((F.col("customer_id") < 900) | (F.col("customer_id") % 4 == 0)))
 
 
 def scd1_product(spark: SparkSession, d: str) -> DataFrame:
@@ -185,26 +241,46 @@ def scd1_store(spark: SparkSession, d: str) -> DataFrame:
 
 
 def constraint_violations(spark: SparkSession, d: str) -> DataFrame:
-    """The warehouse DDL checked against candidate tables built from the raw
-    view before any cleaning (so the rules find the injected defects)."""
-    raw = raw_tables(spark, d)
-    orders = raw.orders.withColumn("order_date", parse_messy_date("order_date"))
+    """The declared rules on candidate tables with breaches of every kind: repeated
+    ids, nulls, texts too long, prices and quantities out of range, unknown parents,
+    dates outside the calendar."""
+    raw, star = raw_tables(spark, d), star_for(spark, d)
+
+    def blank(col: str, when) -> Column:
+        return F.when(~when, F.col(col)).alias(col)
+
+    c, p, s, o = F.col("customer_id"), F.col("product_id"), F.col("store_id"), F.col("order_id")
     cust = _clean_customers(raw.customers)
+    cust = cust.unionByName(cust.where(c % 50 == 0)).withColumns({
+        "email": blank("email", c % 41 == 0),
+        "last_name": F.when(c % 43 == 0, F.repeat("last_name", F.lit(20))).otherwise(F.col("last_name"))})
+    prod = _clean_products(raw.products)
+    prod = prod.unionByName(prod.where(p % 50 == 0)).withColumns({
+        "unit_price": F.when(p % 17 == 0, -F.col("unit_price")).otherwise(F.col("unit_price")),
+        "category": blank("category", p % 47 == 0)})
+    store = _clean_stores(raw.stores)
+    store = store.unionByName(store.where(s % 3 == 0)).withColumn(
+        "store_name", F.when(s % 4 == 0, F.repeat("store_name", F.lit(30))).otherwise(F.col("store_name")))
+    orders = raw.orders.withColumn("order_date", parse_messy_date("order_date")).withColumn(
+        "channel", F.when(o % 401 == 0, F.repeat("channel", F.lit(10))).otherwise(F.col("channel")))
+    days = star.dim_date
+    days = days.unionByName(days.where((F.col("month") == 1) & (F.col("day") == 1))).withColumn(
+        "quarter", F.when(F.col("day") == 31, F.lit(5)).otherwise(F.col("quarter")))
+    fact = star.fact_sales.select(*FACT_COLUMNS).withColumns({
+        "customer_key": F.when(o % 101 == 0, F.lit(-1)).otherwise(F.col("customer_key")),
+        "date_key": F.when(o % 103 == 0, F.lit(19000101)).otherwise(F.col("date_key")),
+        "quantity": F.when(o % 107 == 0, F.lit(0)).otherwise(F.col("quantity")),
+        "revenue": blank("revenue", o % 109 == 0)})
     rules = [
-        TableRules("dim_customer", cust, not_null=["customer_id", "first_name", "last_name", "email", "country"],
-                   unique=[["customer_id"]],
-                   max_length={"first_name": 100, "last_name": 100, "email": 255, "city": 150, "country": 150}),
-        TableRules("dim_product", raw.products, not_null=["product_id", "product_name", "category", "unit_price"],
-                   unique=[["product_id"]], checks={"unit_price>=0": F.col("unit_price") >= 0},
-                   max_length={"product_name": 255, "category": 100}),
-        TableRules("dim_store", raw.stores, not_null=["store_id", "store_name", "city", "country"],
-                   unique=[["store_id"]], max_length={"store_name": 255, "city": 150, "country": 150}),
+        *dimension_rules(cust, prod, store),
+        date_rules(days),
         TableRules("orders", orders, not_null=["order_id", "order_date", "quantity", "channel"],
                    checks={"quantity>0": F.col("quantity") > 0},
                    max_length={"channel": 50},
                    foreign_keys=[("customer_id", cust, "customer_id"),
-                                 ("product_id", raw.products, "product_id"),
-                                 ("store_id", raw.stores, "store_id")]),
+                                 ("product_id", prod, "product_id"),
+                                 ("store_id", store, "store_id")]),
+        fact_rules(fact, star.dim_customer, star.dim_product, star.dim_store, star.dim_date),
     ]
     return validate(rules)
 
@@ -218,14 +294,18 @@ ETL_QUERIES = {
     "quarantine_orders": quarantine_orders,
     "quality_rejects": quality_rejects,
     "reject_reasons": reject_reasons,
+    "fk_valid": fk_valid,
     "fk_orphans": fk_orphans,
+    "malformed_records": malformed_records,
     "dq_customers": dq_customers,
     "dq_orders": dq_orders,
     "scan_csv": scan_csv,
     "sink_parquet": sink_parquet,
     "fact_revenue": fact_revenue,
+    "scan_parquet": scan_parquet,
     "fact_sales": fact_sales,
     "fact_skipped": fact_skipped,
+    "fact_full_refresh": fact_full_refresh,
     "surrogate_keys": surrogate_keys,
     "dim_date": dim_date,
     "insert_only_merge": insert_only_merge_dates,
@@ -238,16 +318,16 @@ ETL_QUERIES = {
 
 def stream_ingest_orders(spark: SparkSession, d: str) -> DataFrame:
     """Structured Streaming run of the order ingest over the raw orders landed as
-    CSV files, several files per micro-batch; returns every tagged row."""
-    from quarry.operators.cleaning import ORDER_COLUMNS
+    CSV files, in two micro-batches; returns every tagged row."""
     from quarry.streaming.order_ingest import read_ingested, start_order_ingest
     raw = raw_tables(spark, d)
     landing = scratch_path(spark, "landing_orders")
-    write_csv(raw.orders.repartition(4), landing)
+    write_csv(raw.orders, landing)
+    files = len(spark.read.schema(RAW_SCHEMAS["orders"]).csv(landing).inputFiles())
     out = scratch_path(spark, "stream_orders")
     q = start_order_ingest(spark, landing, out, scratch_path(spark, "stream_ckpt"),
                            _clean_customers(raw.customers), _clean_products(raw.products),
-                           _clean_stores(raw.stores), files_per_batch=2)
+                           _clean_stores(raw.stores), files_per_batch=max(1, (files + 1) // 2))
     q.awaitTermination()
     return read_ingested(spark, out).select(*ORDER_COLUMNS, "rejection_reason")
 

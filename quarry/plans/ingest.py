@@ -17,8 +17,8 @@ from quarry.operators.cleaning import (
     ORDER_COLUMNS, clean_customers, clean_products, clean_stores, tag_orders,
 )
 from quarry.session import scratch_path
-from quarry.sources.files import write_parquet
-from quarry.sources.tpch_star import Raw, raw_tables
+from quarry.sources.files import stored
+from quarry.sources.tpch_star import Raw, raw_tables, source_signature
 
 
 @dataclass
@@ -38,25 +38,20 @@ def run_ingest(spark: SparkSession, raw: Raw, location: str) -> Silver:
         "products": clean_products(raw.products),
         "stores": clean_stores(raw.stores),
     }
-    stored = {}
-    for name, df in dims.items():
-        write_parquet(df, f"{location}/{name}")
-        stored[name] = spark.read.parquet(f"{location}/{name}")
-    tagged = tag_orders(raw.orders, stored["customers"], stored["products"], stored["stores"])
-    write_parquet(tagged, f"{location}/orders_tagged", ["rejection_reason"])
-    staged = spark.read.parquet(f"{location}/orders_tagged").select(*ORDER_COLUMNS, "rejection_reason")
-    clean = staged.where(F.col("rejection_reason").isNull()).select(*ORDER_COLUMNS)
-    rejected = staged.where(F.col("rejection_reason").isNotNull())
-    return Silver(location, stored["customers"], stored["products"], stored["stores"],
-                  clean, rejected, staged)
+    dims = {name: stored(df, f"{location}/{name}") for name, df in dims.items()}
+    tagged = stored(tag_orders(raw.orders, dims["customers"], dims["products"], dims["stores"])
+                    .select(*ORDER_COLUMNS, "rejection_reason"), f"{location}/orders_tagged", ["rejection_reason"])
+    clean = tagged.where(F.col("rejection_reason").isNull()).select(*ORDER_COLUMNS)
+    rejected = tagged.where(F.col("rejection_reason").isNotNull())
+    return Silver(location, dims["customers"], dims["products"], dims["stores"], clean, rejected, tagged)
 
 
-_SILVER_CACHE: dict[tuple[str, str], Silver] = {}
+_SILVER_CACHE: dict[tuple, Silver] = {}
 
 
 def silver_for(spark: SparkSession, data_dir: str) -> Silver:
-    """Silver tables of the raw view over ``data_dir`` (ingested once per app)."""
-    key = (spark.sparkContext.applicationId, data_dir.rstrip("/"))
+    """Silver tables of the raw view over ``data_dir`` (ingested once per app and input)."""
+    key = (spark.sparkContext.applicationId, source_signature(spark, data_dir))
     if key not in _SILVER_CACHE:
         _SILVER_CACHE[key] = run_ingest(spark, raw_tables(spark, data_dir), scratch_path(spark, "silver"))
     return _SILVER_CACHE[key]

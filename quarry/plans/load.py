@@ -2,22 +2,30 @@
 
 A first load numbers each dimension in natural-key order; a later load merges
 into the previous version (SCD type 1 for the three entity dimensions,
-insert-only for the calendar) and writes a new version folder, so the version
-being read is never overwritten. The fact is a full refresh.
+insert-only for the calendar). The fact is a full refresh. Every load writes a
+new version folder and enforces the declared constraints twice: on the incoming
+dimensions before anything is numbered, and on the written fact before the
+version is published. A broken rule raises and the current version stays.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.modeling import (
-    assign_surrogate_keys, dim_date_from_range, insert_only_merge, lookup_dimension_keys,
-    scd1_merge, with_sale_id, year_bounds,
+    FACT_COLUMNS, SKIP_COLUMNS, assign_surrogate_keys, dim_date_between, dim_date_from_range,
+    insert_only_merge, looked_up_lines, scd1_merge, with_sale_id, year_bounds,
+)
+from quarry.operators.quality import ConstraintViolation, TableRules, enforce
+from quarry.session import scratch_path
+from quarry.sources.files import stored
+from quarry.sources.tables import TableSet
+from quarry.sources.tpch_star import (
+    Star, customer_source, order_lines, product_source, source_signature, store_source,
 )
-from quarry.plans.ingest import Silver
-from quarry.sources.files import write_parquet
-from quarry.sources.tpch_star import Star
 
 DIMENSIONS = {
     # name: (silver table, natural key, surrogate key, attributes)
@@ -26,26 +34,169 @@ DIMENSIONS = {
     "dim_product": ("products", "product_id", "product_key", ["product_name", "category", "unit_price"]),
     "dim_store": ("stores", "store_id", "store_key", ["store_name", "city", "country"]),
 }
+#: Longest calendar a load accepts when the range comes from the data.
+MAX_CALENDAR_YEARS = 100
+
+
+@dataclass
+class Source:
+    """What a load reads: clean dimensions and order lines (a ``Silver`` has the same fields)."""
+    customers: DataFrame
+    products: DataFrame
+    stores: DataFrame
+    orders: DataFrame
+
+
+def dimension_rules(customers: DataFrame, products: DataFrame, stores: DataFrame) -> list[TableRules]:
+    """The declared constraints of the three entity dimensions."""
+    return [
+        TableRules("dim_customer", customers, not_null=["customer_id", "first_name", "last_name", "email", "country"],
+                   unique=[["customer_id"]],
+                   max_length={"first_name": 100, "last_name": 100, "email": 255, "city": 150, "country": 150}),
+        TableRules("dim_product", products, not_null=["product_id", "product_name", "category", "unit_price"],
+                   unique=[["product_id"]], checks={"unit_price>=0": F.col("unit_price") >= 0},
+                   max_length={"product_name": 255, "category": 100}),
+        TableRules("dim_store", stores, not_null=["store_id", "store_name", "city", "country"],
+                   unique=[["store_id"]], max_length={"store_name": 255, "city": 150, "country": 150}),
+    ]
+
+
+def date_rules(dim_date: DataFrame) -> TableRules:
+    return TableRules("dim_date", dim_date, not_null=["date_key", "full_date", "day", "month", "quarter", "year"],
+                      unique=[["date_key"], ["full_date"]],
+                      checks={"month 1-12": F.col("month").between(1, 12),
+                              "quarter 1-4": F.col("quarter").between(1, 4),
+                              "day_of_week 0-6": F.col("day_of_week").between(0, 6)})
+
 
+def fact_rules(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, dim_store: DataFrame,
+               dim_date: DataFrame) -> TableRules:
+    return TableRules("fact_sales", fact,
+                      not_null=["order_id", "customer_key", "product_key", "store_key", "date_key", "channel",
+                                "quantity", "unit_price", "revenue"],
+                      checks={"quantity>0": F.col("quantity") > 0, "unit_price>=0": F.col("unit_price") >= 0,
+                              "revenue>=0": F.col("revenue") >= 0},
+                      max_length={"channel": 50},
+                      foreign_keys=[("customer_key", dim_customer, "customer_key"),
+                                    ("product_key", dim_product, "product_key"),
+                                    ("store_key", dim_store, "store_key"), ("date_key", dim_date, "date_key")])
 
-def run_load(spark: SparkSession, silver: Silver, location: str, previous: Star | None = None) -> Star:
-    out = {}
-    dates = dim_date_from_range(year_bounds(silver.orders, "order_date"))
+
+def calendar_of(spark: SparkSession, orders: DataFrame, calendar: tuple[str, str] | None) -> DataFrame:
+    """The configured range, or the whole years the orders span (bounded, else an error)."""
+    if calendar is not None:
+        return dim_date_between(spark, *calendar)
+    bounds = year_bounds(orders, "order_date")
+    years = bounds.select(F.year("end") - F.year("start") + 1).first()[0]
+    if years is not None and years > MAX_CALENDAR_YEARS:
+        raise ConstraintViolation(f"dim_date: order dates span {years} years; state the calendar range")
+    return dim_date_from_range(bounds)
+
+
+def run_load(spark: SparkSession, source, location: str, previous: Star | None = None,
+             calendar: tuple[str, str] | None = None) -> Star:
+    """Build and check one version below ``location``; nothing is published.
+
+    The looked-up lines are written once, by ``skipped`` and ``sale_year`` and sorted
+    by date inside a file, so row groups prune by ``date_key``; facts and skipped
+    lines are two folders of that one table and add up to the input.
+    """
+    enforce(dimension_rules(source.customers, source.products, source.stores))
+    dates = calendar_of(spark, source.orders, calendar)
     if previous is not None:
         dates = insert_only_merge(previous.dim_date, dates, "date_key")
-    write_parquet(dates, f"{location}/dim_date")
-    out["dim_date"] = spark.read.parquet(f"{location}/dim_date")
+    out = {"dim_date": stored(dates, f"{location}/dim_date")}
     for name, (table, nat, key, attrs) in DIMENSIONS.items():
-        incoming = getattr(silver, table).select(nat, *attrs)
+        incoming = getattr(source, table).select(nat, *attrs)
         if previous is None:
             dim = assign_surrogate_keys(incoming, nat, key).withColumn("loaded_at", F.current_timestamp())
         else:
             dim = scd1_merge(getattr(previous, name), incoming, nat, key, attrs)
-        write_parquet(dim.select(key, nat, *attrs, "loaded_at"), f"{location}/{name}")
-        out[name] = spark.read.parquet(f"{location}/{name}")
-    load = lookup_dimension_keys(silver.orders, out["dim_customer"], out["dim_product"], out["dim_store"])
-    fact = with_sale_id(load.facts).withColumn("loaded_at", F.current_timestamp())
-    write_parquet(fact.withColumn("sale_year", (F.col("date_key") / 10000).cast("smallint")),
-                  f"{location}/fact_sales", ["sale_year"])
-    return Star(out["dim_customer"], out["dim_product"], out["dim_store"], out["dim_date"],
-                spark.read.parquet(f"{location}/fact_sales"), load.skipped, location)
+        out[name] = stored(dim.select(key, nat, *attrs, "loaded_at"), f"{location}/{name}")
+    lines = looked_up_lines(source.orders, out["dim_customer"], out["dim_product"], out["dim_store"])
+    lines = (with_sale_id(lines).withColumn("loaded_at", F.current_timestamp())
+             .withColumn("sale_year", (F.col("date_key") / 10000).cast("smallint")))
+    # months together, split by order: a busy month is several tasks
+    month, salt = (F.col("date_key") / 100).cast("int"), F.pmod(F.xxhash64("order_id"), F.lit(8))
+    dealt = lines.repartition(month, salt).sortWithinPartitions("skipped", "sale_year", "date_key")
+    written = stored(dealt, f"{location}/fact_lines", ["skipped", "sale_year"])
+    fact = written.where(~F.col("skipped")).select("sale_id", *FACT_COLUMNS, "loaded_at", "sale_year")
+    skipped = written.where("skipped").select(*SKIP_COLUMNS)
+    star = Star(out["dim_customer"], out["dim_product"], out["dim_store"], out["dim_date"], fact, skipped,
+                location, skipped_rows=skipped.count())
+    enforce([date_rules(star.dim_date),
+             fact_rules(fact, star.dim_customer, star.dim_product, star.dim_store, star.dim_date)])
+    return star
+
+
+# ------------------------------------------------------------------ versions
+_TABLES = ("dim_customer", "dim_product", "dim_store", "dim_date")
+_VERSIONS = "version long, location string, published_at timestamp, skipped_rows long"
+
+
+def published(spark: SparkSession, warehouse: str) -> DataFrame:
+    """All published versions (an empty warehouse has none)."""
+    path = f"{warehouse}/_versions"
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):
+        return spark.createDataFrame([], _VERSIONS)
+    return spark.read.schema(_VERSIONS).parquet(path)
+
+
+def publish(spark: SparkSession, warehouse: str, star: Star) -> int:
+    """Make a checked version current: one appended row, seen whole or not at all."""
+    version = (published(spark, warehouse).agg(F.max("version")).first()[0] or 0) + 1
+    row = spark.range(1).select(F.lit(version).cast("long").alias("version"), F.lit(star.location).alias("location"),
+                                F.current_timestamp().alias("published_at"),
+                                F.lit(star.skipped_rows).cast("long").alias("skipped_rows"))
+    row.coalesce(1).write.mode("append").parquet(f"{warehouse}/_versions")
+    return version
+
+
+_FACT_LINES = (
+    "sale_id long, order_id long, customer_id long, product_id long, store_id long, customer_key long, "
+    "product_key long, store_key long, date_key int, channel string, quantity int, unit_price decimal(10,2), "
+    "revenue decimal(12,2), missing_customer boolean, missing_product boolean, missing_store boolean, "
+    "revenue_too_large boolean, loaded_at timestamp, skipped boolean, sale_year smallint")
+
+
+def open_version(spark: SparkSession, location: str, skipped_rows: int | None = None) -> Star:
+    dims = {t: spark.read.parquet(f"{location}/{t}") for t in _TABLES}
+    lines = spark.read.schema(_FACT_LINES).parquet(f"{location}/fact_lines")
+    return Star(dims["dim_customer"], dims["dim_product"], dims["dim_store"], dims["dim_date"],
+                lines.where(~F.col("skipped")).select("sale_id", *FACT_COLUMNS, "loaded_at", "sale_year"),
+                lines.where("skipped").select(*SKIP_COLUMNS), location, skipped_rows=skipped_rows)
+
+
+def current(spark: SparkSession, warehouse: str) -> Star | None:
+    """The version published last, or None."""
+    row = published(spark, warehouse).orderBy(F.desc("version")).first()
+    return open_version(spark, row["location"], row["skipped_rows"]) if row else None
+
+
+def refresh(spark: SparkSession, warehouse: str, source, calendar: tuple[str, str] | None = None) -> Star:
+    """Load a new version on top of the current one, check it, publish it."""
+    previous = current(spark, warehouse)
+    number = published(spark, warehouse).count() + 1
+    star = run_load(spark, source, f"{warehouse}/v{number:06d}", previous, calendar)
+    publish(spark, warehouse, star)
+    return star
+
+
+# ------------------------------------------------------------------ test binding
+_STAR_CACHE: dict[tuple, Star] = {}
+
+
+def load_star(spark: SparkSession, data_dir: str) -> Star:
+    """The star of the test tables, loaded by the same job as any other source."""
+    t = TableSet(spark, data_dir)
+    source = Source(customer_source(t), product_source(t), store_source(t), order_lines(t))
+    return run_load(spark, source, scratch_path(spark, "star"))
+
+
+def star_for(spark: SparkSession, data_dir: str) -> Star:
+    """The stored star for ``data_dir`` in this application (built once for each state of the input)."""
+    key = (spark.sparkContext.applicationId, source_signature(spark, data_dir))
+    if key not in _STAR_CACHE:
+        _STAR_CACHE[key] = load_star(spark, data_dir)
+    return _STAR_CACHE[key]

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.plans.etl_queries import ETL_QUERIES
+from quarry.plans.load import star_for
 from quarry.plans.reports import REPORTS
-from quarry.sources.tpch_star import star_for
 
 
 def _report(name: str) -> Callable[[SparkSession, str], DataFrame]:

@@ -1,9 +1,14 @@
 """Spark session helpers.
 
-The library never creates executors of its own or reads machine-local paths on a
-cluster: it takes the session it is given, reads ``spark.checkpoint.dir`` from
-it, and only falls back to a private temporary folder when nothing is configured
-(local tests and the benchmark).
+The library takes the session it is given and writes intermediate tables only
+below the checkpoint folder that session names (``spark.checkpoint.dir``). Without
+one, a local master gets a private temporary folder (tests, benchmark); on a
+cluster every executor would write to its own disk, so that raises.
+
+Checkpoints go when their frames are collected, if
+``spark.cleaner.referenceTracking.cleanCheckpoints`` is on. Written scratch tables
+stay below ``<checkpoint folder>/quarry`` until that folder's owner removes them
+after the application (a folder of its own for each application makes that one step).
 """
 
 from __future__ import annotations
@@ -58,13 +63,15 @@ def _cores_of(master: str) -> int:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a private one only if unset."""
+    """The shared checkpoint folder; a private one only on a local master without any."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -74,3 +81,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/quarry/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def input_signature(spark: SparkSession, paths: list[str]) -> tuple:
+    """(path, bytes, newest change) of each table folder or file; caches use it as key."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    out = []
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            out.append((name, -1, -1))
+            continue
+        files = fs.listStatus(path)
+        out.append((name, sum(f.getLen() for f in files), max((f.getModificationTime() for f in files), default=0)))
+    return tuple(out)

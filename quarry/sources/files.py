@@ -44,20 +44,25 @@ RAW_SCHEMAS = {
 }
 
 
+CORRUPT_RECORD = "_corrupt_record"
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Headered CSV with a declared schema; an empty field reads as null."""
-    return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-            .option("encoding", "UTF-8").csv(path))
+    """Headered CSV with a declared schema; an empty field reads as null.
+
+    A line with a value that doesn't fit its type keeps its text in
+    ``_corrupt_record`` (null for good lines), so a malformed value is never
+    taken for a missing one.
+    """
+    wide = T.StructType([*schema.fields, T.StructField(CORRUPT_RECORD, T.StringType())])
+    return (spark.read.schema(wide).option("header", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT_RECORD).option("encoding", "UTF-8").csv(path))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Overwrite ``path`` with ``df`` (parent folders are created by the writer)."""
     w = df.write.mode("overwrite")
@@ -66,10 +71,10 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
-def write_quarantine(rejected: DataFrame, path: str) -> None:
-    """Quarantine sink, partitioned by reason; always written, even when empty,
-    so a rerun never leaves the rejects of an earlier run behind."""
-    write_parquet(rejected, path, ["rejection_reason"])
+def stored(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` and read it back with its schema, which also works without rows."""
+    write_parquet(df, path, partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def full_refresh_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],

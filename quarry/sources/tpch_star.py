@@ -17,17 +17,14 @@ same rows.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.numeric import PRICE
-from quarry.operators.modeling import (
-    assign_surrogate_keys, dim_date_from_range, lookup_dimension_keys, with_sale_id, year_bounds,
-)
-from quarry.session import scratch_path
-from quarry.sources.tables import TableSet
+from quarry.session import input_signature
+from quarry.sources.tables import BASE_TABLES, TableSet
 
 # Fixed values of the test binding.
 EMAIL_DOMAIN = "@example.com"
@@ -44,12 +41,12 @@ class Star:
     fact_sales: DataFrame
     skipped: DataFrame | None = None
     location: str | None = None
-    extras: dict = field(default_factory=dict)
+    skipped_rows: int | None = None
 
 
 def _nation(t: TableSet) -> DataFrame:
-    # nation is a fixed 25-row reference table: broadcasting it is size-bounded
-    return F.broadcast(t.nation.select("n_nationkey", "n_name"))
+    # left to the planner, which broadcasts it by its measured size
+    return t.nation.select("n_nationkey", "n_name")
 
 
 def customer_source(t: TableSet) -> DataFrame:
@@ -104,51 +101,9 @@ def order_lines(t: TableSet) -> DataFrame:
     )
 
 
-def _with_loaded_at(df: DataFrame) -> DataFrame:
-    return df.withColumn("loaded_at", F.current_timestamp())
-
-
-def build_star(spark: SparkSession, data_dir: str) -> Star:
-    """Logical plans of the five star tables (nothing is written)."""
-    t = TableSet(spark, data_dir)
-    dim_customer = _with_loaded_at(assign_surrogate_keys(customer_source(t), "customer_id", "customer_key"))
-    dim_product = _with_loaded_at(assign_surrogate_keys(product_source(t), "product_id", "product_key"))
-    dim_store = _with_loaded_at(assign_surrogate_keys(store_source(t), "store_id", "store_key"))
-    dim_date = dim_date_from_range(year_bounds(t.orders, "o_orderdate"))
-    lines = order_lines(t)
-    load = lookup_dimension_keys(lines, dim_customer, dim_product, dim_store)
-    fact = _with_loaded_at(with_sale_id(load.facts))
-    return Star(dim_customer, dim_product, dim_store, dim_date, fact, load.skipped)
-
-
-def load_star(spark: SparkSession, data_dir: str) -> Star:
-    """Build the star from the test tables and store it in the checkpoint folder."""
-    location = scratch_path(spark, "star")
-    t = TableSet(spark, data_dir)
-    built = build_star(spark, data_dir)
-    spark_dims = {}
-    for name in ("dim_customer", "dim_product", "dim_store", "dim_date"):
-        getattr(built, name).write.mode("overwrite").parquet(f"{location}/{name}")
-        spark_dims[name] = spark.read.parquet(f"{location}/{name}")
-    load = lookup_dimension_keys(order_lines(t), spark_dims["dim_customer"],
-                                 spark_dims["dim_product"], spark_dims["dim_store"])
-    fact = _with_loaded_at(with_sale_id(load.facts))
-    (fact.withColumn("sale_year", (F.col("date_key") / 10000).cast("smallint"))
-         .write.mode("overwrite").partitionBy("sale_year").parquet(f"{location}/fact_sales"))
-    return Star(spark_dims["dim_customer"], spark_dims["dim_product"], spark_dims["dim_store"],
-                spark_dims["dim_date"], spark.read.parquet(f"{location}/fact_sales"),
-                load.skipped, location)
-
-
-_STAR_CACHE: dict[tuple[str, str], Star] = {}
-
-
-def star_for(spark: SparkSession, data_dir: str) -> Star:
-    """The stored star for ``data_dir`` in this application (built once)."""
-    key = (spark.sparkContext.applicationId, data_dir.rstrip("/"))
-    if key not in _STAR_CACHE:
-        _STAR_CACHE[key] = load_star(spark, data_dir)
-    return _STAR_CACHE[key]
+def source_signature(spark: SparkSession, data_dir: str) -> tuple:
+    """State of the base tables: caches of derived tables are keyed by it."""
+    return input_signature(spark, [f"{data_dir.rstrip('/')}/{t}.parquet" for t in BASE_TABLES])
 
 
 # --------------------------------------------------------------------------- raw
@@ -174,33 +129,50 @@ def raw_tables(spark: SparkSession, data_dir: str) -> Raw:
     Orders (one per line item, k = order key): k%10 in {0,1,2} gives
     MM/dd/yyyy, dd-MMM-yyyy, yyyy/MM/dd dates, others ISO; k%211 = 0 an
     unparseable date; k%97 = 0 a null quantity; k%193 = 0 a negated
-    quantity; k%307 = 0 an unknown product id (-1).
+    quantity; k%307 = 0 an unknown product id (-1); k%311 = 0 an unknown and
+    k%313 = 0 a null customer id; k%317 = 0 an unknown and k%331 = 0 a null
+    store id; k%337 = 0 a null order id.
     Customers: k%33 = 0 repeats customer 0's e-mail upper-cased with outer
-    white space; k%20 = 0 has no city.
+    white space; k%20 = 0 has no city; k%7 = 0 has white space around the first
+    name, city and country; k%13 = 0 a signup date that isn't ISO.
+    Products (k%5 = 0) and stores (k%3 = 0): white space around name and category
+    or city.
     """
     t = TableSet(spark, data_dir)
     cust = customer_source(t)
     k = F.col("customer_id")
+
+    def padded(col: str, when: Column) -> Column:
+        return F.when(when, F.concat(F.lit(" \t"), F.col(col), F.lit("\n "))).otherwise(F.col(col)).alias(col)
+
     customers = cust.select(
-        "customer_id", "first_name", "last_name",
+        "customer_id", padded("first_name", k % 7 == 0), "last_name",
         F.when(k % 33 == 0, F.concat(F.lit("\t "), F.upper(F.lit(CUSTOMER_ZERO_EMAIL)), F.lit("  ")))
          .otherwise(F.col("email")).alias("email"),
-        F.date_format("signup_date", "yyyy-MM-dd").alias("signup_date"),
-        "city", "country",
+        F.when(k % 13 == 0, F.date_format("signup_date", "MM/dd/yyyy"))
+         .otherwise(F.date_format("signup_date", "yyyy-MM-dd")).alias("signup_date"),
+        padded("city", k % 7 == 0), padded("country", k % 7 == 0),
     )
+    pk, sk = F.col("product_id") % 5 == 0, F.col("store_id") % 3 == 0
+    products = product_source(t).select("product_id", padded("product_name", pk), padded("category", pk), "unit_price")
+    stores = store_source(t).select("store_id", padded("store_name", sk), padded("city", sk), "country")
     lines = order_lines(t)
     ok = F.col("order_id")
     q = F.col("quantity")
+    none = F.lit(None).cast("long")
     orders = lines.select(
-        "order_id", "customer_id",
+        F.when(ok % 337 == 0, none).otherwise(ok).alias("order_id"),
+        F.when(ok % 311 == 0, F.lit(-1).cast("long")).when(ok % 313 == 0, none)
+         .otherwise(F.col("customer_id")).alias("customer_id"),
         F.when(ok % 307 == 0, F.lit(-1).cast("long")).otherwise(F.col("product_id")).alias("product_id"),
-        "store_id",
+        F.when(ok % 317 == 0, F.lit(-1).cast("long")).when(ok % 331 == 0, none)
+         .otherwise(F.col("store_id")).alias("store_id"),
         _messy_date_text(F.col("order_date"), ok).alias("order_date"),
-        F.when(ok % 97 == 0, F.lit(None).cast("long")).when(ok % 193 == 0, -q).otherwise(q)
+        F.when(ok % 97 == 0, none).when(ok % 193 == 0, -q).otherwise(q)
          .alias("quantity"),
         "channel",
     )
-    return Raw(customers, product_source(t), store_source(t), orders)
+    return Raw(customers, products, stores, orders)
 
 
 def register_star_views(star: Star, prefix: str = "") -> list[str]:

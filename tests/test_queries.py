@@ -57,7 +57,7 @@ def test_entry_smoke(spark):
 
 def test_window_form_of_first_last_equals_group_form(spark):
     from quarry.plans.reports import first_last_order, first_last_order_window
-    from quarry.sources.tpch_star import star_for
+    from quarry.plans.load import star_for
     star = star_for(spark, SMALL)
     a = sorted(map(tuple, first_last_order(star).collect()))
     b = sorted(map(tuple, first_last_order_window(star).collect()))
@@ -67,7 +67,7 @@ def test_window_form_of_first_last_equals_group_form(spark):
 def test_store_pairs_equal_brute_force(spark):
     from pyspark.sql import functions as F
     from quarry.plans.reports import store_pairs_same_country
-    from quarry.sources.tpch_star import star_for
+    from quarry.plans.load import star_for
     star = star_for(spark, SMALL)
     s = star.dim_store
     brute = (s.alias("a").join(s.alias("b"), (F.col("a.country") == F.col("b.country"))
@@ -87,7 +87,8 @@ def test_plan_has_no_cartesian_or_python_udf(spark, name):
 
 def test_sql_over_registered_views(spark):
     from quarry.plans.reports import revenue_by_channel
-    from quarry.sources.tpch_star import register_star_views, star_for
+    from quarry.plans.load import star_for
+    from quarry.sources.tpch_star import register_star_views
     star = star_for(spark, SMALL)
     register_star_views(star)
     got = spark.sql("""
