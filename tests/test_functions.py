@@ -55,3 +55,15 @@ def test_half_up_rounding(spark):
     rows = df.select(avg_money("t", "n").alias("avg"), pct_money("a", "b").alias("pct")).collect()
     assert rows[0].avg == Decimal("0.03") and rows[0].pct == Decimal("-12.50")
     assert rows[1].avg == Decimal("3.33") and rows[1].pct == Decimal("-12.50")
+
+
+def test_money_above_double_precision(spark):
+    from decimal import Decimal
+
+    from quarry.functions.numeric import avg_money, pct_of_counts, revenue
+    big = Decimal("123456789012345678.91")
+    df = spark.createDataFrame([(big, 1)], "t decimal(38,2), n long")
+    assert df.select(avg_money("t", "n")).first()[0] == big
+    assert df.select(pct_of_counts("n", "n")).first()[0] == Decimal("100.00")
+    df = spark.createDataFrame([(2_000_000, Decimal("99999.99")), (3, Decimal("2.50"))], "q long, p decimal(10,2)")
+    assert [r[0] for r in df.select(revenue("q", "p")).collect()] == [None, Decimal("7.50")]
