@@ -11,7 +11,7 @@ of both cases and digits) and an endpoint (``https://...``, ``s3://...``,
    ``regexp_extract_all`` the matches, so positions are running lengths.
    The arrays are stored without the texts.
 2. Interval join: parts are dealt into scopes (row, start div ``scope``), each
-   (scope, kind) is reduced to its smallest start and largest end, and a weak
+   scope and kind is reduced to its largest end and smallest start, and a weak
    part looks up the complementary kinds in its own and the neighbouring scopes.
    No pair of parts is ever emitted, so a text full of parts costs its length.
 
@@ -110,48 +110,53 @@ def find_parts(docs: DataFrame) -> DataFrame:
 
 
 def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """(doc_id, text_hash, extra): weak parts whose complementary parts lie in scope."""
+    """(doc_id, text_hash, extra): weak parts whose complementary parts lie in scope.
+
+    Two parts lie in scope if at most ``scope`` code points are between them. They
+    then touch the same scope or neighbouring ones: in the same one they are close
+    for certain; of the one before only the largest end counts, of the one after
+    only the smallest start.
+    """
     key = ["doc_id", "text_hash"]
     rows = (parts.where(F.size("weak") > 0)
-            .select(*key, F.explode(F.concat("base", "weak")).alias("p")).select(*key, "p.*").distinct())
-    rows = rows.withColumn("bin", F.floor(F.col("start") / scope))
-    # a part is met in every scope it lies in, and in the neighbours of the first and the last
-    reach = F.explode(F.sequence(F.col("bin") - 1, F.floor(F.col("end") / scope) + 1)).alias("bin")
-    by_scope = (rows.select(*key, "kind", "start", "end", reach)
-                .groupBy(*key, "bin", "kind")
-                # a later bin sees the largest end, an earlier one the smallest start
-                .agg(F.min("start").alias("low"), F.max("end").alias("high"))
-                .groupBy(*key, "bin")
-                .agg(F.map_from_entries(F.collect_list(  # at most one entry per kind
-                    F.struct("kind", F.struct("low", "high")))).alias("near")))
-    at = rows.where(F.col("kind") >= len(BASE)).join(
-        by_scope.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("bin").alias("_b"), "near"),
-        F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("text_hash").eqNullSafe(F.col("_h"))
-        & (F.col("bin") == F.col("_b")))
-
-    def close(kind: str) -> Column:
-        n = F.col("near")[F.lit(_ORDER[kind])]
-        # overlap of [low - scope, high + scope] with the part; the hull lies within three scopes
-        return F.coalesce((n["low"] <= F.col("end") + scope) & (n["high"] >= F.col("start") - scope),
-                          F.lit(False))
-
-    needs = F.lit(False)
-    for kind, groups in _NEEDS.items():
-        ok = F.col("kind") == _ORDER[kind]
-        for group in groups:
-            ok = ok & _any([close(k) for k in group])
-        needs = needs | ok
-    return (at.where(needs).groupBy(*key)
+            .select(*key, F.explode(F.concat("base", "weak")).alias("p")).select(*key, "p.*").distinct()
+            .withColumns({"first": F.floor(F.col("start") / scope), "last": F.floor(F.col("end") / scope)}))
+    at = F.col("at")
+    met = rows.withColumn("at", F.explode(F.sequence(F.col("first") - 1, F.col("last") + 1)))
+    by_kind = met.groupBy(*key, "at", "kind").agg(
+        F.max(at.between(F.col("first"), F.col("last"))).alias("same"),
+        F.max(F.when(at > F.col("last"), F.col("end"))).alias("before"),
+        F.min(F.when(at < F.col("first"), F.col("start"))).alias("after"))
+    near = by_kind.groupBy(*key, "at").agg(F.map_from_entries(F.collect_list(  # one entry per kind
+        F.struct("kind", F.struct("same", "before", "after")))).alias("near"))
+    weak = (rows.where(F.col("kind") >= len(BASE))
+            .withColumn("at", F.explode(F.sequence(F.col("first"), F.col("last"))))
+            .join(near.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("at").alias("_at"), "near"),
+                  F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("text_hash").eqNullSafe(F.col("_h"))
+                  & (at == F.col("_at"))))
+
+    def close(*kinds: str) -> Column:
+        found = F.lit(False)
+        for kind in kinds:
+            n = F.col("near")[F.lit(_ORDER[kind])]
+            found = found | F.coalesce(n["same"], F.lit(False)) | F.coalesce(
+                n["before"] >= F.col("start") - scope, F.lit(False)) | F.coalesce(
+                n["after"] <= F.col("end") + scope, F.lit(False))
+        return found
+
+    groups = sorted({g for needs in _NEEDS.values() for g in needs})
+    seen = weak.groupBy(*key, "start", "end", "kind").agg(
+        *[F.max(close(*g)).alias(f"g{i}") for i, g in enumerate(groups)])
+    ok = F.lit(False)
+    for kind, needs in _NEEDS.items():
+        all_met = F.col("kind") == _ORDER[kind]
+        for g in needs:
+            all_met = all_met & F.col(f"g{groups.index(g)}")
+        ok = ok | all_met
+    return (seen.where(ok).groupBy(*key)
             .agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).cast(_SPAN).alias("extra")))
 
 
-def _any(columns: list[Column]) -> Column:
-    out = columns[0]
-    for c in columns[1:]:
-        out = out | c
-    return out
-
-
 def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """doc_id, text_hash, base and spans (strong and linked weak), sorted by start, then kind."""
     parts = staged(find_parts(docs), "secret_parts")
