@@ -38,6 +38,9 @@ SHINGLE = 3
 RADIUS = 3
 SEED = 42
 TILE = 16384
+#: Tiles of fewer rows are compared in one block of about so many rows; what it
+#: finds across tiles are links as well.
+TOGETHER = 512
 #: First bit of each of the RADIUS + 2 parts; two of them agree for every link.
 CUTS = (0, 13, 26, 39, 52, 64)
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -193,20 +196,30 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
         head: tuple | None = None
         own: list[np.ndarray] = []
         fp: list[np.ndarray] = []
-
-        def done() -> Iterator[pa.RecordBatch]:
-            side, values = np.concatenate(own), np.concatenate(fp).view(np.uint64)
-            if head[2] == head[3]:
-                first, second = values, None
-            else:
-                first, second = values[side == head[2]], values[side == head[3]]
-            both = values if second is None else np.concatenate([first, second])
-            if len(both) > 1 and len(first):
-                found = np.array(tile_forest(first, second, radius), np.int64).reshape(-1, 2)
-                if len(found):
-                    signed = both.view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(signed[found[:, 0]]), pa.array(signed[found[:, 1]])], ["a", "b"])
+        small: list[np.ndarray] = []  # whole tiles of few rows, compared together
+
+        def found(first: np.ndarray, second: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+            both = first if second is None else np.concatenate([first, second])
+            at = np.array(tile_forest(first, second, radius), np.int64).reshape(-1, 2)
+            if len(at):
+                signed = both.view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed[at[:, 0]]), pa.array(signed[at[:, 1]])], ["a", "b"])
+
+        def done(last: bool = False) -> Iterator[pa.RecordBatch]:
+            if head is not None:
+                side, values = np.concatenate(own), np.concatenate(fp).view(np.uint64)
+                if head[2] != head[3]:
+                    first, second = values[side == head[2]], values[side == head[3]]
+                    if len(first) and len(second):
+                        yield from found(first, second)
+                elif len(values) >= TOGETHER:
+                    yield from found(values, None)
+                else:
+                    small.append(values)
+            if small and (last or sum(map(len, small)) >= TOGETHER):
+                yield from found(np.unique(np.concatenate(small)), None)
+                small.clear()
 
         for b in batches:
             t, key, x, y, o, f = (b.column(i).to_numpy() for i in range(6))
@@ -215,16 +228,16 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
             for a, e in zip(new, [*new[1:], len(t)], strict=True):
                 at = (t[a], key[a], x[a], y[a])
                 if at != head:
-                    if head is not None:
-                        yield from done()
+                    yield from done()
                     head, own, fp = at, [], []
                 own.append(o[a:e])
                 fp.append(f[a:e])
-        if head is not None:
-            yield from done()
+        yield from done(last=True)
 
     order = ["t", "key", "x", "y"]
-    return (dealt.repartition(*order).sortWithinPartitions(*order)
+    # a stated number of partitions: few bytes here are much work, and must not be coalesced
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (dealt.repartition(parts, *order).sortWithinPartitions(*order)
             .mapInArrow(run, "a long, b long").distinct())
 
 
