@@ -1,7 +1,7 @@
 """Main text of web pages by a site style tree.
 
 Pass one merges the DOMs of a host: every block element is a node, named by the
-path of its tags, classes, ids and roles (digits masked). A page adds to each
+path of its tags, classes and ids (long numbers masked). A page adds to each
 node a hash of its presentation (the sequence of child tags) and of its content.
 Grouped counts give each node's normalised entropies; its importance is the
 larger of the two. A node is noise if at least ``LEAST_PAGES`` occurrences were
@@ -53,6 +53,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCKS = frozenset("html body address article aside blockquote center dd details dir div dl dt fieldset "
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre "
                    "section summary table tbody td tfoot th thead tr caption ul".split())
+#: Elements every page has, written or not; they are no branches.
+ROOTS = frozenset(("html", "body"))
 #: An opening tag ends an open element of these kinds (optional end tags).
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
         "td": {"td", "th"}, "th": {"td", "th"}}
@@ -77,7 +79,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-_DIGITS = re.compile(r"\d+")
+_DIGITS = re.compile(r"\d{3,}")
 _HIDDEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 
 
@@ -138,12 +140,12 @@ def parse(html: str) -> Page:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
-                paths = tuple(n.path for n in stack if n.tag in BLOCKS)
+                paths = tuple(n.path for n in stack if n.tag in BLOCKS and n.tag not in ROOTS)
                 page.blocks.append((text, paths, top.main, top.role == 0))
 
     def close() -> None:
         node = stack.pop()
-        if node.tag in BLOCKS:
+        if node.tag in BLOCKS and node.tag not in ROOTS:
             page.nodes.append((node.path, " ".join(node.children), node.first, len(page.blocks), node.main))
 
     def text(raw: str) -> None:
@@ -192,7 +194,7 @@ def parse(html: str) -> Page:
             stack[-1].children.append(tag)
         parent = stack[-1]
         role, name = _role(tag, m[3], parent)
-        path = f"{parent.path}/{name}" if tag in BLOCKS else parent.path
+        path = f"{parent.path}/{name}" if tag in BLOCKS and tag not in ROOTS else parent.path
         said_main = tag in MAIN or "main" in m[3] and re.search(r"role\s*=\s*[\"']?main\b", m[3]) is not None
         node = Node(tag, path, parent.main or (said_main and role == 0), role, first=len(page.blocks))
         if tag in RAW:  # its content is no markup

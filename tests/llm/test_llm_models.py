@@ -71,7 +71,8 @@ def test_toxicity_held_out(spark):
 
 def test_ftrl_is_sparse():
     g = np.random.default_rng(2)
-    rows = [(np.append(np.unique(np.append(g.integers(10, 5000, 30), [7] * (i % 2))), toxicity.BIAS), i % 2) for i in range(400)]
+    rows = [(np.append(np.unique(np.append(g.integers(10, 5000, 30), [7] * (i % 2))), toxicity.BIAS).astype(int), i % 2)
+            for i in range(400)]
     w = toxicity.ftrl(rows)
     assert w[7] > 1 and np.count_nonzero(w) < 60
 
