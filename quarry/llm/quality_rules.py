@@ -59,7 +59,7 @@ def repeat_words(words: Column) -> Column:
     as n log n for any number of repeats.
     """
     def windows(h: Column) -> Column:
-        # two nested hashes: xxhash64 skips the nulls past the end, those windows are cut off
+        # past the end get() is null, which the hash skips; those windows are cut off
         w = F.transform(h, lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, WINDOW)]))
         return F.slice(w, F.lit(1), F.greatest(F.size(h) - (WINDOW - 1), F.lit(0)))
 
