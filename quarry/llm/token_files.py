@@ -26,6 +26,8 @@ empty file; a code with one id has length 1; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -44,9 +46,16 @@ END = 2
 LIMIT = 16
 STRIDE = 128
 BLOCK = 1 << 18
-MEMO = 300_000
-PIECE = 1 << 20  # characters whose new pieces go to the library in one call
+MEMO = 400_000
+PIECE = 1 << 19  # characters whose new pieces go to the library in one call
 _MARKS = (",", ".")
+#: Pieces whose characters the library's NFC keeps, with the same lower case in any context.
+_SIMPLE = re.compile("[\x21-\x7e\xa1-\u012f\u0132-\u017f]+")
+
+
+def _letters(piece: str) -> bool:
+    """Letters only, also after the library's normalisation."""
+    return piece.isalpha() and (piece.isascii() or unicodedata.normalize("NFC", piece).lower().isalpha())
 
 
 class WordIds(dict):
@@ -60,40 +69,72 @@ class WordIds(dict):
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.memo, self.old = memo, {}
+        self[""] = b""
+        self.marks = {"": b""}
+        for m in _MARKS:
+            self.marks[m] = np.array(self.library.encode(m, add_special_tokens=False).ids, np.uint16).tobytes()
+        self.ends = np.zeros(1 << 16, bool)  # ids that close a word
+        self.ends[[i for t, i in self.library.get_vocab().items() if t.endswith("</w>")]] = True
         if self.library.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits")
 
-    def _plain(self, piece: str) -> str:
-        """A piece with the same ids; ASCII letters have one lower case."""
-        return piece.lower() if piece.isascii() else piece
-
-    def _halves(self, piece: str) -> tuple[str, ...]:
-        """The piece, or its letters and one closing mark, which the library parts too."""
-        if piece[-1:] in _MARKS and piece[:-1].isalpha():
-            return self._plain(piece[:-1]), piece[-1]
-        return (self._plain(piece),)
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of pieces that aren't known. A piece of letters is one word to the library,
+        so such pieces go to it as one text, whose ids are parted at the word ends."""
+        words = [p for p in pieces if len(p) <= 64 and _letters(p)]
+        for a in range(0, len(words), 4096):
+            some = words[a:a + 4096]
+            found = self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(found[0].ids, np.uint16)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(some):  # letters that the library changes or parts after all
+                pieces = pieces + [w for w in some if w not in self]
+                continue
+            raw, at = ids.tobytes(), 0
+            for w, e in zip(some, (2 * ends).tolist(), strict=True):
+                self[w] = raw[at:e]
+                at = e
+        rest = [p for p in pieces if p not in self]
+        for p, e in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self[p] = np.array(e.ids, np.uint16).tobytes()
 
-    def _learn(self, pieces: set[str]) -> None:
-        todo = []
+    def _resolve(self, pieces: set[str]) -> None:
+        """Put ``pieces`` into the memo. Letters with one lower case everywhere are lowered, and
+        the library parts letters from one closing mark, so such forms come from the bare word."""
+        todo, forms, old = set(), [], self.old
         for p in pieces:
-            got = self.old.get(p)
-            if got is None:
-                todo.append(p)
-            else:
-                self[p] = got
-        for p, e in zip(todo, self.library.encode_batch(todo, add_special_tokens=False), strict=True):
-            self[p] = np.array(e.ids, np.uint16).tobytes()
+            if p in old:
+                self[p] = old[p]
+                continue
+            mark = p[-1] if p[-1] in _MARKS and _letters(p[:-1]) else ""
+            bare = p[:-1] if mark else p
+            if not bare.islower() and (bare.isascii() or _SIMPLE.fullmatch(bare)):
+                bare = bare.lower()
+            if bare != p:
+                forms.append((p, bare, mark))
+            if bare not in self:
+                if bare in old:
+                    self[bare] = old[bare]
+                else:
+                    todo.add(bare)
+        if todo:
+            self._learn(list(todo))
+        for p, bare, mark in forms:
+            self[p] = self[bare] + self.marks[mark]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, 16 bits each."""
         if len(self) > self.memo:
             self.old = dict(self)
             self.clear()
+            self[""] = b""
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        met = set().union(*cut)
-        parts = {p: self._halves(p) for p in met}
-        self._learn({h for x in parts.values() for h in x if h not in self})
-        ids = {p: self[x[0]] if len(x) == 1 else self[x[0]] + self[x[1]] for p, x in parts.items()}
+        met = set().union(*cut)  # a small table for the joins; the memo is asked once a piece
+        ids = dict(zip(met, map(self.get, met), strict=True))
+        new = {p for p, x in ids.items() if x is None}
+        if new:
+            self._resolve(new)
+            ids.update((p, self[p]) for p in new)
         return [b"".join(map(ids.__getitem__, c)) for c in cut]
 
 
@@ -155,7 +196,7 @@ def blocks_of(docs: DataFrame, path: str, end: int = END) -> DataFrame:
              .sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "h"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press, open_ = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        press, open_ = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
         now, block, size = None, 0, 0
         ids: list[bytes] = []
         who: list[int | None] = []
@@ -251,15 +292,16 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
 
 def pack_bits(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
     """Bit string (16-bit cells, most significant bit first) and checkpoint bit offsets."""
-    size = lengths[ids].astype(np.int64)
-    ends = np.cumsum(size)
+    size = lengths[ids]
+    ends = np.cumsum(size, dtype=np.int64)
     starts = ends - size
-    cell, spare = starts >> 4, 32 - (starts & 15) - size
-    wide = codes[ids].astype(np.int64) << spare  # over two cells
+    cell = starts >> 4
+    left = codes << (LIMIT - lengths.astype(np.uint32))  # aligned to the cell's first bit
+    wide = (left[ids] << np.uint32(16)) >> (starts & 15).astype(np.uint32)  # over two cells
     n = (int(ends[-1]) + 15 >> 4) + 1 if len(ids) else 1
     # the codes' bits are disjoint: sums are ors
-    cells = np.bincount(cell, (wide >> 16).astype(np.float64), n) + np.bincount(
-        cell + 1, (wide & 0xFFFF).astype(np.float64), n + 1)[:n]
+    cells = np.bincount(cell, wide >> np.uint32(16), n)
+    cells[1:] += np.bincount(cell, wide & np.uint32(0xFFFF), n)[:-1]
     return cells.astype(">u2").tobytes(), starts[::STRIDE].astype(np.uint64)
 
 
