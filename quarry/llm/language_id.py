@@ -103,10 +103,11 @@ def learn(docs: DataFrame, max_fit: int = 1500, clusters: int = 4, reject_share:
     if not n:
         return None
     idf = np.log((1 + n) / (1 + df)) + 1
-    sizes = known.groupBy("lang").count()
-    share = F.least(F.lit(1.0), F.lit(float(max_fit)) / F.col("count"))
+    # one number a language; a join by language would send all texts of one to a task
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    share = F.create_map(*[F.lit(x) for k, c in sorted(sizes.items()) for x in (k, min(1.0, max_fit / c))])
     u = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("lang-fit")), 11) / F.lit(float(1 << 53))
-    sample = known.join(sizes, "lang").where(u < share).select("lang", "doc_id", "text")
+    sample = known.where(u < F.element_at(share, F.col("lang"))).select("lang", "doc_id", "text")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
