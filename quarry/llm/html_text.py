@@ -10,7 +10,12 @@ seen and the importance is below ``NOISE``: the same thing on page after page.
 Pass two removes, from each page, branches that are noise in its host, and
 branches whose tag, class, id or role says what they are (menus, headers,
 footers, sidebars, notices, adverts, forms, comments): such a declared role is
-importance 0 even where the wording changes from page to page. An ``article`` or
+importance 0 even where the wording changes from page to page. A class or id
+says so by whole tokens (``sidebar``, ``cookie-notice``, ``site-footer``; not
+``has-sidebar``), and never of an element that holds an ``article`` or ``main``
+region; only comments, adverts, related links, ``nav``, ``aside`` and ``footer``
+keep articles below them (teasers) unless the page has no other text. Ids of
+headings, and of sections inside a region, are names of places, not of roles. An ``article`` or
 ``main`` region is declared importance 1: entropy never removes anything in it,
 so an article that is published twice stays whole, and with such a region the
 text outside it is dropped.
@@ -30,6 +35,7 @@ pages of the host); other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import html as references
 import re
 from collections.abc import Iterator
@@ -61,6 +67,8 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 #: ... but not beyond the nearest of these.
 FENCES = frozenset("ul ol dl table article section div body main aside nav header footer form blockquote".split())
 NOT_TEXT = frozenset("nav footer aside form header menu".split())
+#: Articles in these are teasers.
+WITH_TEASERS = frozenset("nav footer aside".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog".split())
 #: Words of a class or id that name a branch beside the article.
 NAMES = frozenset(
@@ -69,7 +77,16 @@ NAMES = frozenset(
     "consent notice gdpr popup modal overlay newsletter subscribe subscription signup login search comment comments "
     "disqus respond reply replies share sharing social related recommended recommendations widget pagination pager "
     "skip copyright legal".split())
+#: The ones whose articles are comments and teasers.
+NAMES_WITH_TEASERS = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion comment comments "
+    "disqus respond reply replies related recommended recommendations widget".split())
+NAMES_OF_HEADERS = frozenset(("header", "masthead"))
+#: Words that leave the meaning of a token's other words.
+NEUTRAL = frozenset("site box bar wrapper container list links buttons area body div form".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Their header is a row or cell of the text.
+TABLE_PARTS = frozenset("table thead tbody tr th td".split())
 MAIN = frozenset(("article", "main"))
 #: The same for an article or main element, which often names what it has beside it.
 NAMES_OF_MAIN = frozenset("comment reply ad advert advertisement sponsored promo related recommended teaser".split())
@@ -90,7 +107,8 @@ class Node:
     tag: str
     path: str
     main: bool    # inside article or main
-    role: int     # 0: text of the page; 1: declared noise; 2: header of an article (headings stay)
+    role: int     # 0: text of the page; 1: no text; 2: header of an article (headings stay)
+    marks: tuple[int, ...] = ()  # elements around it, and itself, that are declared noise by name
     children: list[str] = field(default_factory=list)
     first: int = 0  # first block of it
 
@@ -103,29 +121,53 @@ class Page:
     nodes: list[tuple[str, str, int, int, bool]] = field(default_factory=list)
 
 
-def _role(tag: str, attrs: str, parent: Node) -> tuple[int, str]:
-    """Declared role of an element, and its name in a path."""
-    role, name = parent.role, tag
+@functools.lru_cache(1 << 14)
+def _names(token: str) -> frozenset[str]:
+    """Words of a class or id if all of them name a branch, numbers and neutral words aside."""
+    parts = _PART.findall(token)
+    if sum(map(len, parts)) != len(token) - token.count("-") - token.count("_"):
+        return frozenset()
+    words = {w.lower() for w in parts if not w.isdigit()} - NEUTRAL
+    return frozenset(words) if words <= NAMES | NAMES_OF_MAIN else frozenset()
+
+
+def _role(tag: str, attrs: str, parent: Node) -> tuple[int, str, int, int]:
+    """Declared role of an element, its name in a path, its mark (0: none; 1: noise unless it
+    holds a region; 2: noise whose articles are teasers) and its region (0: none; 1: article; 2: main)."""
+    role, name, mark = parent.role, tag, 0
+    region = 2 if tag == "main" else int(tag == "article")
     if attrs:
         values: dict[str, str] = {}
         for k, a, b, c in _ATTR.findall(attrs):
             values.setdefault(k.lower(), a or b or c)
-        marks = f"{values.get('class', '')} {values.get('id', '')}"
-        if marks != " ":
-            name += "." + ".".join(sorted(set(_DIGITS.sub("#", marks).split())))
+        classes, ids = values.get("class", "").split(), values.get("id", "").split()
+        if classes or ids:
+            name += "." + ".".join(sorted({_DIGITS.sub("#", x) for x in classes + ids}))
+        said = values.get("role", "").lower()
+        region = max(region, 2 if said == "main" else int(said == "article"))
         if "hidden" in values or _HIDDEN.search(values.get("style", "")) or values.get("aria-hidden") == "true":
             role = 1
-        elif tag not in ("html", "body"):
-            said = values.get("role", "").lower()
-            words = {w.lower() for w in _PART.findall(marks)}
-            named = NAMES_OF_MAIN if tag in MAIN or said in MAIN else NAMES
-            if said in ROLES or words & named:
-                role = 1
-    if tag in SKIPPED or tag in NOT_TEXT:
-        role = 2 if tag == "header" and parent.main and role != 1 else 1
+        elif tag not in ROOTS:
+            place = tag in HEADINGS or parent.main and (tag == "section" or "section" in classes)
+            words = frozenset().union(*map(_names, classes if place else classes + ids))
+            if region:
+                words = words & NAMES_OF_MAIN if region == 1 else frozenset()
+            elif tag in HEADINGS or parent.main and tag in TABLE_PARTS:
+                words = words - NAMES_OF_HEADERS
+            elif parent.main and words and words <= NAMES_OF_HEADERS:
+                role, words = role or 2, frozenset()
+            if words or said in ROLES:
+                mark = 2 if region or words & NAMES_WITH_TEASERS or said in ("navigation", "complementary") else 1
+    if tag in SKIPPED:
+        role = 1
+    elif tag in NOT_TEXT:
+        if tag == "header" and parent.main:
+            role = role or 2
+        else:
+            mark = max(mark, 2 if tag in WITH_TEASERS else 1)
     elif role == 2 and tag in HEADINGS:
         role = 0
-    return role, name
+    return role, name, mark, region
 
 
 def parse(html: str) -> Page:
@@ -133,6 +175,8 @@ def parse(html: str) -> Page:
     page = Page()
     stack = [Node("", "", False, 0)]
     parts: list[str] = []
+    marks: list[list[int]] = []  # mark of an element declared noise; 1 or 2 if it holds an article or main
+    found: list[tuple[str, tuple[str, ...], bool, bool, tuple[int, ...]]] = []
 
     def flush() -> None:
         if parts:
@@ -141,12 +185,12 @@ def parse(html: str) -> Page:
             parts.clear()
             if text:
                 paths = tuple(n.path for n in stack if n.tag in BLOCKS and n.tag not in ROOTS)
-                page.blocks.append((text, paths, top.main, top.role == 0))
+                found.append((text, paths, top.main, top.role == 0, top.marks))
 
     def close() -> None:
         node = stack.pop()
         if node.tag in BLOCKS and node.tag not in ROOTS:
-            page.nodes.append((node.path, " ".join(node.children), node.first, len(page.blocks), node.main))
+            page.nodes.append((node.path, " ".join(node.children), node.first, len(found), node.main))
 
     def text(raw: str) -> None:
         if raw:
@@ -193,10 +237,17 @@ def parse(html: str) -> Page:
                     break
             stack[-1].children.append(tag)
         parent = stack[-1]
-        role, name = _role(tag, m[3], parent)
+        role, name, mark, region = _role(tag, m[3], parent)
         path = f"{parent.path}/{name}" if tag in BLOCKS and tag not in ROOTS else parent.path
-        said_main = tag in MAIN or "main" in m[3] and re.search(r"role\s*=\s*[\"']?main\b", m[3]) is not None
-        node = Node(tag, path, parent.main or (said_main and role == 0), role, first=len(page.blocks))
+        if role == 1 or mark:
+            region = 0
+        node = Node(tag, path, parent.main or region > 0, role, parent.marks, first=len(found))
+        if region:
+            for k in parent.marks:
+                marks[k][1] = max(marks[k][1], region)
+        if mark:
+            node.marks += (len(marks),)
+            marks.append([mark, 0])
         if tag in RAW:  # its content is no markup
             end = re.compile(f"</{tag}(?=[\\s/>]|\\Z)", re.I).search(html, at)
             stop = end.start() if end else size
@@ -207,6 +258,10 @@ def parse(html: str) -> Page:
     flush()
     while len(stack) > 1:
         close()
+    noise = {k for k, (mark, holds) in enumerate(marks) if holds < mark}
+    if noise and not any(ok and noise.isdisjoint(own) for *_, ok, own in found):
+        noise = {k for k in noise if not marks[k][1]}  # the articles are the only text
+    page.blocks = [(text, paths, main, ok and noise.isdisjoint(own)) for text, paths, main, ok, own in found]
     return page
 
 

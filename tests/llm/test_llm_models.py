@@ -99,6 +99,27 @@ def test_blocks_and_references():
     assert text_of("<" * 20_000 + "a") == "<" * 19_999
 
 
+def test_names_are_whole_tokens_and_regions_stay():
+    art = "<article><p>Story</p></article>"
+    for mark in ("class='layout has-sidebar'", "class='content-sidebar'", "class='search'", "id='header'", "class='sidebar share'"):
+        assert text_of(f"<body><div {mark}>{art}</div></body>") == "Story", mark
+        assert text_of(f"<body><div {mark}><main><p>Story</p></main></div></body>") == "Story", mark
+    assert text_of(f"<form id='form1'><div class='menu'>Menu</div>{art}</form>") == "Story"
+    assert text_of("<div class='related'><article>Only text</article></div>") == "Only text"
+    # slug ids of headings and sections
+    assert text_of("<article><h2 id='related-work'>Related work</h2><p>a</p><h2 id='search'>Search</h2><p>b</p>"
+                   "<section id='search-results'><h3>Results</h3><p>c</p></section><section id='comments'><p>d</p></section>"
+                   "<div id='legal' class='section level2'><p>e</p></div></article>") == "Related work\na\nSearch\nb\nResults\nc\nd\ne"
+    assert text_of("<article><table><tr class='header'><th>k</th></tr><tr><td>v</td></tr></table></article>") == "k\nv"
+    # what is declared still goes
+    for mark in ("class='cookie-notice'", "class='site-footer'", "id='comments'", "class='x sidebar'", "class='relatedLinks'",
+                 "id='ad-300'", "role='search'"):
+        assert text_of(f"<div {mark}>no</div>{art}") == text_of(f"<article><p>Story</p><div {mark}>no</div></article>") == "Story", mark
+    for cards in ("<div class='related'><article>Teaser</article></div>", "<aside><article>Teaser</article></aside>",
+                  "<div id='comments'><article class='comment-body'>first!</article></div>", "<article class='teaser'>t</article>"):
+        assert text_of(f"<main><p>Story</p></main>{cards}") == text_of(f"{art}{cards}") == "Story", cards
+
+
 def test_site_noise_goes_and_repeated_articles_stay(spark):
     rows = []
     for i in range(40):
