@@ -17,8 +17,8 @@ region; only comments, adverts, related links, ``nav``, ``aside`` and ``footer``
 keep articles below them (teasers) unless the page has no other text. Ids of
 headings, and of sections inside a region, are names of places, not of roles. An ``article`` or
 ``main`` region is declared importance 1: entropy never removes anything in it,
-so an article that is published twice stays whole, and with such a region the
-text outside it is dropped.
+so an article that is published twice stays whole. Text outside such a region
+stays too, unless its branch is noise by the tree or by declaration.
 
 The noise of a host (a few paths) meets its pages in a join; the planner
 broadcasts it only if its stored size is small, and splits hot hosts otherwise.
@@ -270,12 +270,9 @@ def _key(path: str) -> int:
 
 
 def main_text(page: Page, noise: frozenset[int]) -> str:
-    """Blocks left when noise branches go; those in article or main if there are any."""
-    kept = [(text, main) for text, paths, main, ok in page.blocks
-            if ok and (main or not noise or not any(_key(p) in noise for p in paths))]
-    if any(main for _, main in kept):
-        kept = [x for x in kept if x[1]]
-    return "\n".join(text for text, _ in kept)
+    """Blocks left when noise branches go."""
+    return "\n".join(text for text, paths, main, ok in page.blocks
+                     if ok and (main or not noise or not any(_key(p) in noise for p in paths)))
 
 
 def _host(url):

@@ -136,6 +136,15 @@ def test_site_noise_goes_and_repeated_articles_stay(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def test_tree_decides_beside_an_article(spark):
+    rows = [(i, f"https://mag.example.com/{i}", f"<body><div class='strip'>Same on every page</div><h1>Headline {i}</h1><div class='lead'>Lead {i}</div>"
+             f"<div id='content'><p>Text {i}</p></div><article class='card'>Card {i}</article></body>") for i in range(20)]
+    rows.append((99, "https://few.example.com/1", "<div class='strip'>Seen once</div><article>A</article>"))
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got.pop(99) == "Seen once\nA"
+    assert got == {i: f"Headline {i}\nLead {i}\nText {i}\nCard {i}" for i in range(20)}
+
+
 def test_articles_of_the_test_pages(spark):
     import html as h
     import re
