@@ -10,6 +10,7 @@
    c_k being the share at rate 1. In the metric of w the step 1 / (1 + ridge) is
    safe (the matrix of the first term, scaled by c, is stochastic). A step is
    one aggregation of K sums; only those reach the driver.
+   A domain without a target has its present share as target.
 3. ``scale`` of the targets: the smallest for which no domain has to shrink
    (each is repeated, none thrown away), or a given number.
 
@@ -107,7 +108,7 @@ def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float],
               max_steps: int = 24) -> tuple[DataFrame, list[dict]]:
     """Adds ``rate`` to rows with n_tokens and p; and the shares after every step.
 
-    Domains without a target get 0; the targets are scaled to sum to 1.
+    Domains without a target keep their present share; the targets are scaled to sum to the rest.
     """
     k = len(domains)
     total = rows.agg(F.sum("n_tokens").alias("n"),
@@ -115,10 +116,12 @@ def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float],
     if not total["n"]:
         return rows.withColumn("rate", F.lit(1.0)), []
     share = [total[f"s{i}"] / total["n"] for i in range(k)]
-    goal = [max(0.0, targets.get(d, 0.0)) for d in domains]
-    if not sum(goal):
-        raise ValueError(f"none of the domains {domains} has a target")
-    goal = [g / sum(goal) for g in goal]
+    own = [c if d not in targets else 0.0 for d, c in zip(domains, share, strict=True)]
+    told = [max(0.0, targets.get(d, 0.0)) for d in domains]
+    if not sum(told) and any(d in targets for d in domains):
+        raise ValueError(f"none of the domains {domains} has a target above 0")
+    rest = max(0.0, 1 - sum(own)) / (sum(told) or 1.0)
+    goal = [o + g * rest for o, g in zip(own, told, strict=True)]
     if scale is None:
         scale = max(c / g for c, g in zip(share, goal, strict=True) if g)
     goal = [g * scale for g in goal]

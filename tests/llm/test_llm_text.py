@@ -271,6 +271,22 @@ def test_mixing_plan(spark, docs, empty):
     assert mixing.mixing_plan(empty, none).count() == 0
 
 
+def test_language_without_a_target_stays(spark):
+    langs = {"en": "the of and that with this", "de": "und der die über für schön", "pt": "não ção você são então ó"}
+    order = ["en"] * 60 + ["de"] * 20 + ["pt"] * 20
+    rows = [(i, " ".join(rng.choice(langs[l].split()) for _ in range(50)), l) for i, l in enumerate(order)]
+    own = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = own.where("doc_id % 2 = 0").select("doc_id", F.col("lang").alias("domain"))
+    out = mixing.mixing_plan(own, labels).collect()
+    assert {r.domain for r in out if r.doc_id >= 80} == {"pt"} and all(r.copies >= 1 for r in out)
+    size = {l: sum(r.n_tokens * r.rate for r in out if order[r.doc_id] == l) for l in langs}
+    assert abs(size["pt"] / sum(size.values()) - 0.2) < 0.02
+    assert {r.doc_id for r in mixing.mix(own, labels).collect()} == set(range(100))
+    # no domain with a target: nothing to change
+    p = spark.createDataFrame([(i, 10, [0.3, 0.7]) for i in range(9)], "doc_id long, n_tokens long, p array<double>")
+    assert all(abs(r.rate - 1) < 1e-9 for r in mixing.fit_rates(p, ["x", "y"], mixing.TARGETS)[0].collect())
+
+
 # ------------------------------------------------------------------ tokens
 def test_bpe_equals_the_library(spark, docs, empty):
     import base64
