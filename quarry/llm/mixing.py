@@ -12,7 +12,10 @@
    one aggregation of K sums; only those reach the driver.
    A domain without a target has its present share as target.
 3. ``scale`` of the targets: the smallest for which no domain has to shrink
-   (each is repeated, none thrown away), or a given number.
+   (each is repeated, none thrown away), or a given number. In the first case rates
+   are projected onto rate >= 1, so every document stays; as the soft memberships of
+   repeated documents add to the other domains, the scale is enlarged until the
+   bound costs nothing (``MOST_GROWTH`` at most; beyond it targets are only approached).
 
 All counts cover whole texts and every row. Defined results: a null or empty
 text has no tokens, weight 0, the prior as posterior and rate 1; labels of
@@ -34,6 +37,8 @@ PROBES = ("a", "e", "h", "o", "u", "w", "é", "ê", "ç", "ó", "ñ", "ä", "ü"
 BINS = 8
 TEMPERATURE = 3.0
 RIDGE = 0.02
+#: The scale grows by this factor at most where soft memberships would push rates below their bound.
+MOST_GROWTH = 2.0
 #: Target weights of the registered query and the pipeline.
 TARGETS = {"en": 0.55, "de": 0.16, "fr": 0.16, "es": 0.13}
 
@@ -103,16 +108,30 @@ def posteriors(rated: DataFrame, model: dict) -> DataFrame:
             .withColumn("p", soft(F.col("_s"))).drop("_b", "_s"))
 
 
+def _scale_for(share: list[float], goal: list[float], both: list[list[float]], ridge: float, least: float) -> float:
+    """Smallest scale at which the unbounded fit has no rate under ``least`` (at most 1); 0 if none has.
+
+    Its rates are 1 + sum of b_k p_k with (both + ridge diag(share)) b = scale goal - share,
+    and ``both`` sums to ``share``: b = scale u - 1 / (1 + ridge).
+    """
+    import numpy as np
+    c = np.maximum(share, 1e-9)
+    u = np.linalg.lstsq(np.array(both) + ridge * np.diag(c), np.array(goal), rcond=None)[0]
+    return float((least - 1 + 1 / (1 + ridge)) / u.min()) if u.min() > 0 else 0.0
+
+
 def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float],
-              scale: float | None = None, ridge: float = RIDGE, tolerance: float = 1e-4,
+              scale: float | None = None, ridge: float = RIDGE, least: float = 0.0, tolerance: float = 1e-4,
               max_steps: int = 24) -> tuple[DataFrame, list[dict]]:
-    """Adds ``rate`` to rows with n_tokens and p; and the shares after every step.
+    """Adds ``rate`` (``least`` or more) to rows with n_tokens and p; and the shares after every step.
 
     Domains without a target keep their present share; the targets are scaled to sum to the rest.
     """
     k = len(domains)
     total = rows.agg(F.sum("n_tokens").alias("n"),
-                     *[F.sum(F.col("n_tokens") * F.get("p", F.lit(i))).alias(f"s{i}") for i in range(k)]).first()
+                     *[F.sum(F.col("n_tokens") * F.get("p", F.lit(i))).alias(f"s{i}") for i in range(k)],
+                     *[F.sum(F.col("n_tokens") * F.get("p", F.lit(i)) * F.get("p", F.lit(j))).alias(f"m{i}_{j}")
+                       for i in range(k) for j in range(i, k)]).first()
     if not total["n"]:
         return rows.withColumn("rate", F.lit(1.0)), []
     share = [total[f"s{i}"] / total["n"] for i in range(k)]
@@ -124,13 +143,15 @@ def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float],
     goal = [o + g * rest for o, g in zip(own, told, strict=True)]
     if scale is None:
         scale = max(c / g for c, g in zip(share, goal, strict=True) if g)
+        both = [[total[f"m{min(i, j)}_{max(i, j)}"] / total["n"] for j in range(k)] for i in range(k)]
+        scale = max(scale, min(MOST_GROWTH * scale, _scale_for(share, goal, both, ridge, least)))
     goal = [g * scale for g in goal]
     now, history, rate = share, [], F.lit(1.0)
     step = 1 / (1 + ridge)
     for _ in range(max_steps):
         pull = [step * (s - g) / max(c, 1e-9) for s, g, c in zip(now, goal, share, strict=True)]
         dot = reduce(lambda a, b: a + b, [F.get("p", F.lit(i)) * F.lit(x) for i, x in enumerate(pull)])
-        rate = F.greatest(F.lit(0.0), F.lit(1 - step * ridge) * rate - dot + F.lit(step * ridge))
+        rate = F.greatest(F.lit(float(least)), F.lit(1 - step * ridge) * rate - dot + F.lit(step * ridge))
         rated = rows.withColumn("_r", F.when(F.col("n_tokens") > 0, rate).otherwise(F.lit(1.0)))
         got = rated.agg(*[F.sum(F.col("n_tokens") * F.col("_r") * F.get("p", F.lit(i))).alias(f"s{i}")
                           for i in range(k)]).first()
@@ -150,7 +171,8 @@ def fitted(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | Non
     if model is None:
         return rated.withColumns({"p": F.array().cast("array<double>"), "rate": F.lit(1.0)}).drop("r"), []
     rows = staged(posteriors(rated, model).drop("r"), "mix_posteriors")
-    out, _ = fit_rates(rows, model["domains"], TARGETS if targets is None else targets, scale)
+    out, _ = fit_rates(rows, model["domains"], TARGETS if targets is None else targets, scale,
+                       least=1.0 if scale is None else 0.0)
     return out, model["domains"]
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from quarry.llm import html_text, language_id, permutation_index, toxicity
+from quarry.llm import html_text, language_id, mixing, permutation_index, toxicity
 from quarry.llm.common import table
 
 SMALL = "/root/testdata/sf0.01"
@@ -241,6 +241,22 @@ def test_pipeline_stages(spark):
     assert good.join(kept, "doc_id").count() >= 0.95 * good.count()
 
 
+def test_mixing_keeps_every_document_of_a_hot_source(spark):
+    docs = table(spark, SMALL, "documents")
+    more = spark.range(1, 10).select(F.col("id").alias("k"))
+    hot = docs.where("lang = 'es'").crossJoin(more).withColumn("doc_id", F.col("doc_id") + F.col("k") * 1_000_000_000)
+    hot = docs.unionByName(hot.select(*docs.columns))
+    labels = mixing.domain_labels(hot, table(spark, SMALL, "labels"))
+    assert all(r.rate >= 1 and r.copies >= 1 for r in mixing.mixing_plan(hot, labels).collect())
+    ids = hot.select("doc_id").distinct()
+    assert ids.join(mixing.mix(hot, labels), "doc_id", "left_anti").count() == 0
+    # memberships too alike for the targets: the bound holds, the targets are only approached
+    rows = spark.createDataFrame([(i, 10, [0.5 + i % 3 / 100, 0.5 - i % 3 / 100]) for i in range(30)],
+                                 "doc_id long, n_tokens long, p array<double>")
+    out, _ = mixing.fit_rates(rows, ["a", "b"], {"a": 0.9, "b": 0.1}, least=1.0)
+    assert all(r.rate >= 1 for r in out.collect())
+
+
 @pytest.mark.parametrize("stage", range(4))
 def test_stages_take_empty_documents(spark, stage):
     docs = table(spark, SMALL, "documents").limit(0)
