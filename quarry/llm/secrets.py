@@ -42,8 +42,9 @@ BASE = {"assign": (ASSIGN, 2, 6), "access": (ACCESS, 0, 20), "hex": (HEX, 0, 24)
 WEAK = {
     "ident": (r"(?i:access_?key_?id|client_?id|key_?id|user_?name|login)[\"']?\x20*[:=]\x20*[\"']?"
               r"([A-Za-z0-9+/_.@-]+)", 1, 4),
-    "bare": (r"(?<![A-Za-z0-9+/])(?=[A-Za-z0-9+/]{0,64}[a-z])(?=[A-Za-z0-9+/]{0,64}[A-Z])"
-             r"(?=[A-Za-z0-9+/]{0,64}[0-9])[A-Za-z0-9+/]{32,}={0,2}", 0, 32),
+    # the look-aheads see the whole run; it has one start, so they cost its length
+    "bare": (r"(?<![A-Za-z0-9+/])(?=[A-Z0-9+/]*+[a-z])(?=[a-z0-9+/]*+[A-Z])"
+             r"(?=[A-Za-z+/]*+[0-9])[A-Za-z0-9+/]{32,}={0,2}", 0, 32),
     "endpoint": (r"(?:https?|s3|gs|amqps?|redis|postgres(?:ql)?|mysql|mongodb(?:\+srv)?)://[^\s\"'<>]+"
                  r"|(?i:host|endpoint|region)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.:/_-]+", 0, 6),
 }

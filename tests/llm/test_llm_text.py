@@ -230,6 +230,17 @@ def test_redaction(spark):
         assert not base_spans(r.text)
 
 
+def test_long_bare_secrets(spark):
+    runs = ["aB" * 50 + "7", "b7" * 5_000 + "A", "A7" * 50 + "b" + "A" * 20 + "==", "aB7" * 30,
+            "aB" * 5_000, "a7" * 50, "A7" * 50, "a" * 200_000]  # the last four lack a class
+    df = spark.createDataFrame([(i, f"login: bobby {r} end") for i, r in enumerate(runs)], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.secret_report(df).collect()}
+    for i, r in enumerate(runs):
+        assert (f"bare:13:{13 + len(r)}" in got[i]) == (i < 4), i
+    text = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert all(text[i] == f"[ident] [{'hex' if i == 1 else 'bare'}] end" for i in range(4))  # run 1 begins with a hex run
+
+
 # ------------------------------------------------------------------ mixing
 def test_rates_meet_targets(spark):
     g = np.random.default_rng(1)
