@@ -17,14 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 
     Cuts the lineage: later jobs reread the files, also after an executor is
     lost. Reading with the written schema makes empty tables work.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

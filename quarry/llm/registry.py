@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import (byte_bpe, html_text, language_id, mixing, permutation_index, quality_rules,
-                        secrets, simhash, token_files, toxicity)
+from quarry.llm import (alignment, byte_bpe, html_text, language_id, mixing, permutation_index, quality_rules,
+                        secrets, simhash, spelling, token_files, toxicity, winnowing)
 from quarry.llm.common import table
 
 
@@ -52,6 +52,18 @@ def op10_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dups(table(spark, sf_dir, "documents"))
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -61,5 +73,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scans, op2_language_id, op3_quality_rules, op4_byte_bpe, op5_token_files,
-        op6_html_text, op7_toxicity, op8_mixing, op9_nearest_neighbours, op10_simhash_near_dups, pipeline)}
+        op6_html_text, op7_toxicity, op8_mixing, op9_nearest_neighbours, op10_simhash_near_dups, op11_winnowing,
+        op12_token_alignment, op13_spelling_variants, pipeline)}
 SQL: dict[str, str] = {}
