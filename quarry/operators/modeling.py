@@ -148,12 +148,3 @@ def looked_up_lines(lines: DataFrame, dim_customer: DataFrame, dim_product: Data
         too_large.alias("revenue_too_large"))
     return out.withColumn("skipped", F.col("missing_customer") | F.col("missing_product")
                           | F.col("missing_store") | F.col("revenue_too_large"))
-
-
-def with_sale_id(facts: DataFrame) -> DataFrame:
-    """``sale_id``: unique 64-bit id fixed when the fact table is written.
-
-    A full refresh rewrites the table, so ids are unique within one version;
-    they are not dense (a dense id would need a global sort of the whole fact).
-    """
-    return facts.select((F.monotonically_increasing_id() + 1).alias("sale_id"), *facts.columns)

@@ -50,13 +50,13 @@ def sorted_checkpoint(df: DataFrame, order_cols: list[Column | str], unique: boo
     return spark.read.schema(tied.schema).parquet(path).orderBy(*order_cols, _TIE).checkpoint(eager=True)
 
 
-def global_row_number(df: DataFrame, order_cols: list[Column | str], out: str = "row_num",
-                      unique: bool = False) -> DataFrame:
-    """Add ``out`` = 1-based position of each row in the total order.
+def numbered_ranges(df: DataFrame, order_cols: list[Column | str], out: str = "row_num",
+                    unique: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows, ranges) of the stored total order.
 
-    ``unique``: the order columns tell all rows apart, no tie breaker is needed.
-    Rows that tie on all of them are numbered in an arbitrary but stored order.
-    Counting the result reads the checkpoint, not the input.
+    ``rows`` has ``out``, the 1-based position, and ``_q_pid``, the range a row lies
+    in. ``ranges`` has one row for each range with rows: ``_q_pid``, ``_q_off`` (rows
+    before it) and ``_q_n`` (its rows). Both read the checkpoint, not the input.
     """
     ordered = sorted_checkpoint(df, order_cols, unique)
     pid = F.spark_partition_id()
@@ -67,16 +67,28 @@ def global_row_number(df: DataFrame, order_cols: list[Column | str], out: str =
     )
     counts = pos.groupBy(_PID).agg(F.count(F.lit(1)).alias("_q_n"))
     # one row per partition: a window over it is bounded by the partition count
-    offsets = counts.select(
-        _PID,
+    ranges = counts.select(
+        _PID, "_q_n",
         F.coalesce(
             F.sum("_q_n").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0),
         ).alias(_OFF),
     )
-    return (pos.join(F.broadcast(offsets), _PID)
+    rows = (pos.join(F.broadcast(ranges.select(_PID, _OFF)), _PID)
             .withColumn(out, (F.col(_OFF) + F.col(_IDX) + 1).cast("long"))
-            .drop(_PID, _IDX, _OFF, _TIE))
+            .drop(_IDX, _OFF, _TIE))
+    return rows, ranges
+
+
+def global_row_number(df: DataFrame, order_cols: list[Column | str], out: str = "row_num",
+                      unique: bool = False) -> DataFrame:
+    """Add ``out`` = 1-based position of each row in the total order.
+
+    ``unique``: the order columns tell all rows apart, no tie breaker is needed.
+    Rows that tie on all of them are numbered in an arbitrary but stored order.
+    Counting the result reads the checkpoint, not the input.
+    """
+    return numbered_ranges(df, order_cols, out, unique)[0].drop(_PID)
 
 
 def global_ranks(df: DataFrame, value: str, descending: bool = True, rank: str = "rnk",

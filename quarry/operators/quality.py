@@ -28,8 +28,12 @@ def customer_quality(customers: DataFrame) -> DataFrame:
 
 def order_quality(tagged: DataFrame) -> DataFrame:
     """rows in, clean, quarantined, and quarantine rate in percent (0 for no rows)."""
-    agg = tagged.agg(F.count(F.lit(1)).alias("rows_in"),
-                     F.count_if(F.col("rejection_reason").isNull()).alias("rows_clean"))
+    return quality_rates(tagged.agg(F.count(F.lit(1)).alias("rows_in"),
+                                    F.count_if(F.col("rejection_reason").isNull()).alias("rows_clean")))
+
+
+def quality_rates(agg: DataFrame) -> DataFrame:
+    """The same from rows of (rows_in, rows_clean), such as a write has counted."""
     rej = F.col("rows_in") - F.col("rows_clean")
     rate = F.when(F.col("rows_in") > 0, pct_of_counts(rej, F.col("rows_in")))
     return agg.select("rows_in", "rows_clean", rej.alias("rows_rejected"),
@@ -67,6 +71,13 @@ def _flagged(r: TableRules) -> DataFrame:
     return out
 
 
+def rule_counts(r: TableRules) -> list[tuple[str, Column]]:
+    """(rule, predicate that is true for a breach) of the NOT NULL, CHECK and length rules."""
+    return ([(f"not_null:{c}", F.col(c).isNull()) for c in r.not_null]
+            + [(f"check:{nm}", ~F.coalesce(pred, F.lit(True))) for nm, pred in r.checks.items()]
+            + [(f"length:{c}<={n}", F.coalesce(F.length(c) > n, F.lit(False))) for c, n in r.max_length.items()])
+
+
 def validate(rules: list[TableRules]) -> DataFrame:
     """One row per (table, constraint) with the number of violating rows.
 
@@ -77,13 +88,7 @@ def validate(rules: list[TableRules]) -> DataFrame:
     """
     parts: list[DataFrame] = []
     for r in rules:
-        exprs = []
-        for c in r.not_null:
-            exprs.append((f"not_null:{c}", F.count_if(F.col(c).isNull())))
-        for nm, pred in r.checks.items():
-            exprs.append((f"check:{nm}", F.count_if(~F.coalesce(pred, F.lit(True)))))
-        for c, n in r.max_length.items():
-            exprs.append((f"length:{c}<={n}", F.count_if(F.length(c) > n)))
+        exprs = [(name, F.count_if(broken)) for name, broken in rule_counts(r)]
         for i, (c, _, _) in enumerate(r.foreign_keys):
             exprs.append((f"foreign_key:{c}", F.count_if(F.col(c).isNotNull() & F.col(f"_f{i}").isNull())))
         if exprs:

@@ -318,6 +318,32 @@ FROM visit""")
     q["pivot_quarter"] = with_star(SALE, f"""
 SELECT category, {", ".join(f"{money(f'sum(CASE quarter WHEN {k} THEN revenue END)')} AS q{k}" for k in (1, 2, 3, 4))}
 FROM sale GROUP BY category""")
+    q["order_chains"] = with_star("""visit AS (
+    SELECT DISTINCT customer_key, order_id, full_date FROM fact_sales JOIN dim_date USING (date_key)
+),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY customer_key ORDER BY full_date, order_id) AS place FROM visit),
+linked AS (
+    SELECT a.order_id, CASE WHEN a.full_date - b.full_date <= 45 THEN b.order_id END AS before_id
+    FROM numbered a LEFT JOIN numbered b ON a.customer_key = b.customer_key AND a.place = b.place + 1
+),
+walk AS (
+    SELECT order_id, order_id AS first_order_id, CAST(1 AS BIGINT) AS position FROM linked WHERE before_id IS NULL
+    UNION ALL
+    SELECT l.order_id, w.first_order_id, w.position + 1 FROM walk w JOIN linked l ON l.before_id = w.order_id
+)""", "SELECT * FROM walk")
+    line_order = "date_key, order_id, product_key, store_key, quantity, revenue"
+    q["all_running_totals"] = with_star("", f"""
+SELECT customer_key, order_id, date_key, revenue,
+       {money('sum(revenue) OVER (PARTITION BY customer_key ORDER BY date_key)')} AS running_total
+FROM fact_sales""")
+    q["all_moving_averages"] = with_star("", f"""
+SELECT customer_key, date_key, order_id, revenue, {avg_money('total', 'n')} AS moving_avg
+FROM (SELECT *, sum(revenue) OVER w AS total, count(*) OVER w AS n FROM fact_sales
+      WINDOW w AS (PARTITION BY customer_key ORDER BY {line_order} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))""")
+    q["all_previous_lines"] = with_star("", f"""
+SELECT customer_key, date_key, order_id, revenue, lag(revenue) OVER w AS previous_revenue,
+       lag(date_key) OVER w AS previous_date_key, {money('revenue - lag(revenue) OVER w')} AS change
+FROM fact_sales WINDOW w AS (PARTITION BY customer_key ORDER BY {line_order})""")
     q["recursive_months"] = with_star("""sold AS (SELECT date_key // 100 AS ym, count(*) AS n FROM fact_sales GROUP BY 1),
 step AS (
     SELECT min(ym) AS ym FROM sold
@@ -427,7 +453,7 @@ def _scd1_sql(table: str, nat: str, key: str, attrs: list[str], first_where: str
     merged = ", ".join(f"CASE WHEN i.{nat} IS NOT NULL THEN i.{x} ELSE e.{x} END AS {x}" for x in attrs)
     return with_raw(f"""existing AS (
     SELECT CAST(row_number() OVER (ORDER BY {nat}) AS BIGINT) AS {key}, {nat}, {typed}
-    FROM raw_{table} WHERE {first_where}
+    FROM raw_{table} WHERE {first_where} OR {nat} % 11 = 0
 ),
 incoming AS (SELECT {nat}, {a} FROM clean_{table} WHERE {nat} % 11 <> 0)""", f"""
 SELECT e.{key}, e.{nat}, {merged}

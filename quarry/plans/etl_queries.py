@@ -11,23 +11,24 @@ from pyspark.sql import functions as F
 
 from quarry.functions.dates import lenient_iso_date, parse_messy_date
 from quarry.operators.cleaning import (
-    ORDER_COLUMNS, ORPHAN_FOREIGN_KEY, check_referential_integrity, clean_customers as _clean_customers,
-    clean_orders as _clean_orders_split, clean_products as _clean_products,
-    clean_stores as _clean_stores, merge_rejects, tag_order_quality,
+    ORDER_COLUMNS, ORPHAN_FOREIGN_KEY, clean_customers as _clean_customers,
+    clean_products as _clean_products, clean_stores as _clean_stores, merge_rejects,
+    tag_order_quality, tag_orders,
 )
+from quarry.operators import dimension_store
 from quarry.operators.modeling import (
-    FACT_COLUMNS, SKIP_COLUMNS, assign_surrogate_keys, dim_date_from_range,
-    fact_revenue as _fact_revenue, insert_only_merge, scd1_merge, year_bounds,
+    FACT_COLUMNS, SKIP_COLUMNS, dim_date_from_range, fact_revenue as _fact_revenue,
+    insert_only_merge, year_bounds,
 )
 from quarry.operators.quality import (
-    TableRules, customer_quality, order_quality, reject_reason_counts, validate,
+    TableRules, customer_quality, quality_rates, reject_reason_counts, validate,
 )
 from quarry.plans.ingest import silver_for
 from quarry.plans.load import (
     DIMENSIONS, Source, current, date_rules, dimension_rules, fact_rules, refresh, run_load, star_for,
 )
 from quarry.session import scratch_path
-from quarry.sources.files import RAW_SCHEMAS, read_csv, write_csv
+from quarry.sources.files import RAW_SCHEMAS, read_csv, stored, write_csv
 from quarry.sources.tables import TableSet
 from quarry.sources.tpch_star import raw_tables, source_signature
 
@@ -70,29 +71,27 @@ def reject_reasons(spark: SparkSession, d: str) -> DataFrame:
     return reject_reason_counts(silver_for(spark, d).tagged)
 
 
-def _referential(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(valid, orphans, quality rejects) of the raw orders."""
+def _tagged(spark: SparkSession, d: str) -> DataFrame:
+    """All raw orders with the reason that rejects them, in one pass."""
     raw = raw_tables(spark, d)
-    passed, rejected = _clean_orders_split(raw.orders)
-    valid, orphans = check_referential_integrity(passed, _clean_customers(raw.customers),
-                                                 _clean_products(raw.products), _clean_stores(raw.stores))
-    return valid, orphans, rejected
+    return tag_orders(raw.orders, _clean_customers(raw.customers), _clean_products(raw.products), _clean_stores(raw.stores))
 
 
 def fk_valid(spark: SparkSession, d: str) -> DataFrame:
     """Quality-passed orders whose customer, product and store are known."""
-    return _referential(spark, d)[0].select(*ORDER_COLUMNS)
+    return _tagged(spark, d).where("rejection_reason is null").select(*ORDER_COLUMNS)
 
 
 def fk_orphans(spark: SparkSession, d: str) -> DataFrame:
     """Quality-passed orders whose customer, product or store is unknown or null."""
-    return _referential(spark, d)[1]
+    return _tagged(spark, d).where(F.col("rejection_reason") == ORPHAN_FOREIGN_KEY)
 
 
 def quality_rejects(spark: SparkSession, d: str) -> DataFrame:
     """D4/D6/D8 without the stored silver: quality rejects and FK orphans merged."""
-    _, orphans, rejected = _referential(spark, d)
-    return merge_rejects(rejected, orphans)
+    tagged = _tagged(spark, d)
+    orphan = F.col("rejection_reason") == ORPHAN_FOREIGN_KEY
+    return merge_rejects(tagged.where(~orphan), tagged.where(orphan))
 
 
 def malformed_records(spark: SparkSession, d: str) -> DataFrame:
@@ -114,7 +113,10 @@ def dq_customers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dq_orders(spark: SparkSession, d: str) -> DataFrame:
-    return order_quality(silver_for(spark, d).tagged)
+    """What the ingest counted while it wrote the orders."""
+    silver = silver_for(spark, d)
+    counted = spark.createDataFrame([(silver.rows_in, silver.rows_clean)], "rows_in long, rows_clean long")
+    return quality_rates(counted)
 
 
 def scan_csv(spark: SparkSession, d: str) -> DataFrame:
@@ -207,37 +209,39 @@ def insert_only_merge_dates(spark: SparkSession, d: str) -> DataFrame:
     return insert_only_merge(first.withColumn("day_name", F.upper("day_name")), full, "date_key")
 
 
-def _scd1(spark: SparkSession, d: str, name: str, first_batch) -> DataFrame:
-    """First batch as landed (white space and all), then the cleaned table without the
-    ids divisible by 11: those met before stay as they were."""
+def _scd1(spark: SparkSession, d: str, name: str, first_batch: Column) -> DataFrame:
+    """A stored dimension of the first batch as landed (white space and all; ids divisible
+    by 11 among them), and the cleaned rows of all other ids merged into it: ids that only
+    the first batch holds stay as they were."""
     raw = raw_tables(spark, d)
     table, nat, key, attrs = DIMENSIONS[name]
     raw_df = getattr(raw, table)
     cleaner = {"customers": _clean_customers, "products": _clean_products, "stores": _clean_stores}[table]
-    first = first_batch(raw_df)
+    only_first = F.col(nat) % 11 == 0
+    first = raw_df.where(first_batch | only_first)
     if "signup_date" in attrs:  # the first load types the date but keeps text as landed
         first = first.withColumn("signup_date", lenient_iso_date("signup_date"))
-    existing = (assign_surrogate_keys(first.select(nat, *attrs), nat, key)
-                .withColumn("loaded_at", F.current_timestamp()))
-    incoming = cleaner(raw_df).where(F.col(nat) % 11 != 0).select(nat, *attrs)
-    return scd1_merge(existing, incoming, nat, key, attrs).select(key, nat, *attrs)
+    first = stored(first.select(nat, *attrs), scratch_path(spark, f"{name}_first"))
+    second = stored(cleaner(raw_df).where(~only_first).select(nat, *attrs), scratch_path(spark, f"{name}_second"))
+    before = dimension_store.create(first, nat, key, attrs, scratch_path(spark, name))
+    after, _ = dimension_store.merge(before, second, scratch_path(spark, name))
+    return after.read(spark).select(key, nat, *attrs)
 
 
 def scd1_customer(spark: SparkSession, d: str) -> DataFrame:
-    """K2: raw customers with ids under 900 or divisible by 4 loaded first, then all cleaned
-    ones merged (attributes overwritten, keys kept, new keys appended)."""
-    return _scd1(spark, d, "dim_customer",
-                 lambda df: df.where((F.col("customer_id") < 900) | (F.col("customer_id") % 4 == 0)))
+    """K2: raw customers with ids under 900 or divisible by 4 or 11 loaded first, then the
+    cleaned ones merged (attributes overwritten, keys kept, new keys appended)."""
+    return _scd1(spark, d, "dim_customer", (F.col("customer_id") < 900) | (F.col("customer_id") % 4 == 0))
 
 
 def scd1_product(spark: SparkSession, d: str) -> DataFrame:
-    """K3: products under 1500 loaded first, then the whole catalogue merged."""
-    return _scd1(spark, d, "dim_product", lambda df: df.where(F.col("unit_price") < FIRST_BATCH_PRICE_BELOW))
+    """K3: products under 1500 (and ids divisible by 11) loaded first, then the catalogue merged."""
+    return _scd1(spark, d, "dim_product", F.col("unit_price") < FIRST_BATCH_PRICE_BELOW)
 
 
 def scd1_store(spark: SparkSession, d: str) -> DataFrame:
-    """K4: stores of nations named up to NATION_5 first, then all stores merged."""
-    return _scd1(spark, d, "dim_store", lambda df: df.where(F.col("country") <= "NATION_5"))
+    """K4: stores of nations named up to NATION_5 (and ids divisible by 11) first, then the others merged."""
+    return _scd1(spark, d, "dim_store", F.col("country") <= "NATION_5")
 
 
 def constraint_violations(spark: SparkSession, d: str) -> DataFrame:
@@ -246,6 +250,10 @@ def constraint_violations(spark: SparkSession, d: str) -> DataFrame:
     dates outside the calendar."""
     raw, star = raw_tables(spark, d), star_for(spark, d)
 
+    def candidate(df: DataFrame, name: str) -> DataFrame:
+        """Stored: a table is read for its own rules, its keys and as a parent."""
+        return stored(df, scratch_path(spark, f"candidate_{name}"))
+
     def blank(col: str, when) -> Column:
         return F.when(~when, F.col(col)).alias(col)
 
@@ -261,6 +269,7 @@ def constraint_violations(spark: SparkSession, d: str) -> DataFrame:
     store = _clean_stores(raw.stores)
     store = store.unionByName(store.where(s % 3 == 0)).withColumn(
         "store_name", F.when(s % 4 == 0, F.repeat("store_name", F.lit(30))).otherwise(F.col("store_name")))
+    cust, prod, store = candidate(cust, "customers"), candidate(prod, "products"), candidate(store, "stores")
     orders = raw.orders.withColumn("order_date", parse_messy_date("order_date")).withColumn(
         "channel", F.when(o % 401 == 0, F.repeat("channel", F.lit(10))).otherwise(F.col("channel")))
     days = star.dim_date

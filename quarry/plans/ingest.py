@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.cleaning import (
@@ -30,6 +30,8 @@ class Silver:
     orders: DataFrame       # clean
     quarantine: DataFrame   # rejected, with rejection_reason
     tagged: DataFrame       # both, reason null when clean
+    rows_in: int            # counted by the write itself
+    rows_clean: int
 
 
 def run_ingest(spark: SparkSession, raw: Raw, location: str) -> Silver:
@@ -39,11 +41,18 @@ def run_ingest(spark: SparkSession, raw: Raw, location: str) -> Silver:
         "stores": clean_stores(raw.stores),
     }
     dims = {name: stored(df, f"{location}/{name}") for name, df in dims.items()}
+    # no exchange follows the observation: the tasks that write count what they write
+    seen = Observation()
     tagged = stored(tag_orders(raw.orders, dims["customers"], dims["products"], dims["stores"])
-                    .select(*ORDER_COLUMNS, "rejection_reason"), f"{location}/orders_tagged", ["rejection_reason"])
+                    .select(*ORDER_COLUMNS, "rejection_reason")
+                    .observe(seen, F.count(F.lit(1)).alias("rows_in"),
+                             F.count_if(F.col("rejection_reason").isNull()).alias("rows_clean")),
+                    f"{location}/orders_tagged", ["rejection_reason"])
+    counts = seen.get
     clean = tagged.where(F.col("rejection_reason").isNull()).select(*ORDER_COLUMNS)
     rejected = tagged.where(F.col("rejection_reason").isNotNull())
-    return Silver(location, dims["customers"], dims["products"], dims["stores"], clean, rejected, tagged)
+    return Silver(location, dims["customers"], dims["products"], dims["stores"], clean, rejected, tagged,
+                  counts.get("rows_in") or 0, counts.get("rows_clean") or 0)
 
 
 _SILVER_CACHE: dict[tuple, Silver] = {}

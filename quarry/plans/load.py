@@ -1,25 +1,29 @@
 """Silver -> star job (dimensions first, then the fact).
 
 A first load numbers each dimension in natural-key order; a later load merges
-into the previous version (SCD type 1 for the three entity dimensions,
-insert-only for the calendar). The fact is a full refresh. Every load writes a
-new version folder and enforces the declared constraints twice: on the incoming
-dimensions before anything is numbered, and on the written fact before the
-version is published. A broken rule raises and the current version stays.
+into the previous version: the three entity dimensions by rewriting the buckets
+in which rows changed (SCD type 1), the calendar insert-only. The fact is a full
+refresh. The declared constraints are enforced on the landed dimensions before
+anything is numbered, and on the fact while it's written. A broken rule raises,
+the load's folder goes, and the current version stays.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.operators import dimension_store
+from quarry.operators.dimension_store import StoredDimension
 from quarry.operators.modeling import (
-    FACT_COLUMNS, SKIP_COLUMNS, assign_surrogate_keys, dim_date_between, dim_date_from_range,
-    insert_only_merge, looked_up_lines, scd1_merge, with_sale_id, year_bounds,
+    FACT_COLUMNS, SKIP_COLUMNS, dim_date_between, dim_date_from_range, insert_only_merge,
+    looked_up_lines, year_bounds,
 )
-from quarry.operators.quality import ConstraintViolation, TableRules, enforce
+from quarry.operators.quality import ConstraintViolation, TableRules, enforce, rule_counts
+from quarry.plans import versions
+from quarry.plans.versions import ConcurrentCommit, Version, latest, published  # noqa: F401
 from quarry.session import scratch_path
 from quarry.sources.files import stored
 from quarry.sources.tables import TableSet
@@ -101,58 +105,63 @@ def run_load(spark: SparkSession, source, location: str, previous: Star | None =
     by date inside a file, so row groups prune by ``date_key``; facts and skipped
     lines are two folders of that one table and add up to the input.
     """
-    enforce(dimension_rules(source.customers, source.products, source.stores))
+    landed = {name: stored(getattr(source, table).select(nat, *attrs), scratch_path(spark, f"landed_{table}"))
+              for name, (table, nat, _, attrs) in DIMENSIONS.items()}
+    enforce(dimension_rules(*landed.values()))
     dates = calendar_of(spark, source.orders, calendar)
     if previous is not None:
         dates = insert_only_merge(previous.dim_date, dates, "date_key")
-    out = {"dim_date": stored(dates, f"{location}/dim_date")}
-    for name, (table, nat, key, attrs) in DIMENSIONS.items():
-        incoming = getattr(source, table).select(nat, *attrs)
+    dates = stored(dates, f"{location}/dim_date")
+    enforce([date_rules(dates)])
+    dims: dict[str, StoredDimension] = {}
+    for name, (_, nat, key, attrs) in DIMENSIONS.items():
+        path = f"{location}/{name}"
         if previous is None:
-            dim = assign_surrogate_keys(incoming, nat, key).withColumn("loaded_at", F.current_timestamp())
+            dims[name] = dimension_store.create(landed[name], nat, key, attrs, path, checked=True)
         else:
-            dim = scd1_merge(getattr(previous, name), incoming, nat, key, attrs)
-        out[name] = stored(dim.select(key, nat, *attrs, "loaded_at"), f"{location}/{name}")
-    lines = looked_up_lines(source.orders, out["dim_customer"], out["dim_product"], out["dim_store"])
-    lines = (with_sale_id(lines).withColumn("loaded_at", F.current_timestamp())
-             .withColumn("sale_year", (F.col("date_key") / 10000).cast("smallint")))
-    # months together, split by order: a busy month is several tasks
-    month, salt = (F.col("date_key") / 100).cast("int"), F.pmod(F.xxhash64("order_id"), F.lit(8))
-    dealt = lines.repartition(month, salt).sortWithinPartitions("skipped", "sale_year", "date_key")
-    written = stored(dealt, f"{location}/fact_lines", ["skipped", "sale_year"])
+            dims[name], _ = dimension_store.merge(previous.dimensions[name], landed[name], path, checked=True)
+    out = {name: dim.read(spark) for name, dim in dims.items()}
+    written, counts = _write_lines(source.orders, out, dates, f"{location}/fact_lines")
+    if broken := {rule: n for rule, n in counts.items() if n and rule != "skipped"}:
+        raise ConstraintViolation("; ".join(f"fact_sales.{rule}: {n}" for rule, n in broken.items()))
     fact = written.where(~F.col("skipped")).select("sale_id", *FACT_COLUMNS, "loaded_at", "sale_year")
     skipped = written.where("skipped").select(*SKIP_COLUMNS)
-    star = Star(out["dim_customer"], out["dim_product"], out["dim_store"], out["dim_date"], fact, skipped,
-                location, skipped_rows=skipped.count())
-    enforce([date_rules(star.dim_date),
-             fact_rules(fact, star.dim_customer, star.dim_product, star.dim_store, star.dim_date)])
-    return star
+    return Star(out["dim_customer"], out["dim_product"], out["dim_store"], dates, fact, skipped, location,
+                skipped_rows=counts["skipped"], dimensions=dims)
 
 
-# ------------------------------------------------------------------ versions
-_TABLES = ("dim_customer", "dim_product", "dim_store", "dim_date")
-_VERSIONS = "version long, location string, published_at timestamp, skipped_rows long"
-
-
-def published(spark: SparkSession, warehouse: str) -> DataFrame:
-    """All published versions (an empty warehouse has none)."""
-    path = f"{warehouse}/_versions"
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):
-        return spark.createDataFrame([], _VERSIONS)
-    return spark.read.schema(_VERSIONS).parquet(path)
-
+def _write_lines(orders: DataFrame, dims: dict[str, DataFrame], dates: DataFrame,
+                 path: str) -> tuple[DataFrame, dict[str, int]]:
+    """The looked-up lines as written, and what the write observed: skipped lines, breaches of each rule.
 
-def publish(spark: SparkSession, warehouse: str, star: Star) -> int:
-    """Make a checked version current: one appended row, seen whole or not at all."""
-    version = (published(spark, warehouse).agg(F.max("version")).first()[0] or 0) + 1
-    row = spark.range(1).select(F.lit(version).cast("long").alias("version"), F.lit(star.location).alias("location"),
-                                F.current_timestamp().alias("published_at"),
-                                F.lit(star.skipped_rows).cast("long").alias("skipped_rows"))
-    row.coalesce(1).write.mode("append").parquet(f"{warehouse}/_versions")
-    return version
+    The customer, product and store keys come out of the dimensions, so only the date's
+    needs a check of its own. Months lie together; Spark splits busy ones by their
+    size (rebalance). What is observed stands after the last exchange, in the tasks that
+    write, so a stage that runs again isn't counted twice; ``sale_id`` is given there
+    as well: task and position, whatever order a task that runs again meets its rows in.
+    """
+    lines = looked_up_lines(orders, dims["dim_customer"], dims["dim_product"], dims["dim_store"])
+    known = dates.select(F.col("date_key").alias("_q_date"))
+    lines = (lines.join(known, F.col("date_key") == F.col("_q_date"), "left")
+             .withColumn("sale_year", (F.col("date_key") / 10000).cast("smallint"))
+             .withColumn("_q_month", (F.col("date_key") / 100).cast("int")))
+    rules = fact_rules(lines, dims["dim_customer"], dims["dim_product"], dims["dim_store"], dates)
+    kept = ~F.col("skipped")
+    counts = {rule: F.count_if(kept & broken) for rule, broken in rule_counts(rules)}
+    counts["foreign_key:date_key"] = F.count_if(kept & F.col("date_key").isNotNull() & F.col("_q_date").isNull())
+    counts["skipped"] = F.count_if("skipped")
+    seen = Observation()
+    dealt = (lines.hint("rebalance", F.col("_q_month")).sortWithinPartitions("skipped", "sale_year", "date_key")
+             .observe(seen, *[c.alias(f"c{i}") for i, c in enumerate(counts.values())])
+             .select((F.monotonically_increasing_id() + 1).alias("sale_id"),
+                     *[c for c in lines.columns if c not in ("_q_date", "_q_month", "sale_year")],
+                     F.current_timestamp().alias("loaded_at"), "sale_year"))
+    written = stored(dealt, path, ["skipped", "sale_year"])
+    found = seen.get
+    return written, {rule: found.get(f"c{i}") or 0 for i, rule in enumerate(counts)}
 
 
+# ------------------------------------------------------------------ versions
 _FACT_LINES = (
     "sale_id long, order_id long, customer_id long, product_id long, store_id long, customer_key long, "
     "product_key long, store_key long, date_key int, channel string, quantity int, unit_price decimal(10,2), "
@@ -160,27 +169,45 @@ _FACT_LINES = (
     "revenue_too_large boolean, loaded_at timestamp, skipped boolean, sale_year smallint")
 
 
-def open_version(spark: SparkSession, location: str, skipped_rows: int | None = None) -> Star:
-    dims = {t: spark.read.parquet(f"{location}/{t}") for t in _TABLES}
+def open_version(spark: SparkSession, version: Version) -> Star:
+    location = version.location
+    stores = {name: dimension_store.from_manifest(m) for name, m in version.dimensions.items()}
+    dims = {name: dim.read(spark) for name, dim in stores.items()}
     lines = spark.read.schema(_FACT_LINES).parquet(f"{location}/fact_lines")
-    return Star(dims["dim_customer"], dims["dim_product"], dims["dim_store"], dims["dim_date"],
+    return Star(dims["dim_customer"], dims["dim_product"], dims["dim_store"], spark.read.parquet(f"{location}/dim_date"),
                 lines.where(~F.col("skipped")).select("sale_id", *FACT_COLUMNS, "loaded_at", "sale_year"),
-                lines.where("skipped").select(*SKIP_COLUMNS), location, skipped_rows=skipped_rows)
+                lines.where("skipped").select(*SKIP_COLUMNS), location, skipped_rows=version.skipped_rows,
+                dimensions=stores)
 
 
 def current(spark: SparkSession, warehouse: str) -> Star | None:
     """The version published last, or None."""
-    row = published(spark, warehouse).orderBy(F.desc("version")).first()
-    return open_version(spark, row["location"], row["skipped_rows"]) if row else None
+    version = latest(spark, warehouse)
+    return open_version(spark, version) if version else None
 
 
-def refresh(spark: SparkSession, warehouse: str, source, calendar: tuple[str, str] | None = None) -> Star:
-    """Load a new version on top of the current one, check it, publish it."""
-    previous = current(spark, warehouse)
-    number = published(spark, warehouse).count() + 1
-    star = run_load(spark, source, f"{warehouse}/v{number:06d}", previous, calendar)
-    publish(spark, warehouse, star)
-    return star
+def refresh(spark: SparkSession, warehouse: str, source, calendar: tuple[str, str] | None = None,
+            most_tries: int = 5) -> Star:
+    """Load a new version on top of the current one, check it, publish it.
+
+    If another load has published meanwhile, this one starts again on top of that
+    version, so no version is lost; what a load that fails or loses has written goes.
+    """
+    for _ in range(most_tries):
+        base = latest(spark, warehouse)
+        number = (base.version if base else 0) + 1
+        location = versions.new_location(warehouse, number)
+        try:
+            star = run_load(spark, source, location, open_version(spark, base) if base else None, calendar)
+            manifests = {name: dim.manifest() for name, dim in star.dimensions.items()}
+            won = versions.commit(spark, warehouse, number, location, star.skipped_rows, manifests)
+        except BaseException:
+            versions.drop(spark, location)
+            raise
+        if won:
+            return star
+        versions.drop(spark, location)
+    raise ConcurrentCommit(f"{warehouse}: other loads were faster {most_tries} times")
 
 
 # ------------------------------------------------------------------ test binding

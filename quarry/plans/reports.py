@@ -26,9 +26,12 @@ from pyspark.sql import functions as F
 
 from quarry.functions.numeric import avg_money, money, pct_money
 from quarry.functions.text import full_name
-from quarry.operators.ordering import (
-    global_lead, global_ranks, global_row_number, ntile_of, percentile_of_numbered,
-)
+from quarry.operators.ordering import global_lead, global_ranks, ntile_of
+from quarry.operators.recursion import chains, month_series
+from quarry.operators.scans import lags, moving_sums, running_sums
+from quarry.operators.selection import percentile_cont, tile_summary
+from quarry.session import scratch_path
+from quarry.sources.files import stored
 
 # Default literals for the test binding (years with complete data, categories
 # and channels that exist in it). The reference used other values for its own
@@ -105,6 +108,12 @@ def _customer_spend(star) -> DataFrame:
                         "customer_key").select("customer_id", "first_name", "last_name", "total_spend")
 
 
+def _stored_spend(star) -> DataFrame:
+    """Customers' spend, written once: the fact is aggregated a single time."""
+    spend = _customer_spend(star)
+    return stored(spend, scratch_path(spend.sparkSession, "customer_spend"))
+
+
 def _threshold_top_k(df: DataFrame, col: str, k: int, descending: bool) -> Column:
     """Scalar: the k-th value of ``col`` in the given order (top-k of one column).
 
@@ -329,12 +338,12 @@ def products_never_sold(star, start: str | None = None, end: str | None = None)
 def top_spenders_p95(star, p: float = 0.95, n: int = 15) -> DataFrame:
     """Customers whose spend reaches the 95th percentile (exact, interpolated).
 
-    The fact is read once, for the stored numbering; percentile and result read that.
+    The percentile comes from refining histograms over the stored spend: no customer
+    is sorted but the n of the result.
     """
-    spend = global_row_number(_customer_spend(star), [F.col("total_spend"), F.col("customer_id")], out="_at")
-    p95 = percentile_of_numbered(spend, "total_spend", "_at", p, out="p95").scalar()
-    return (spend.where(F.col("total_spend").cast("double") >= p95)
-            .select("customer_id", "first_name", "last_name", "total_spend")
+    spend = _stored_spend(star)
+    p95 = percentile_cont(spend, "total_spend", p)
+    return (spend.where(F.col("total_spend").cast("double") >= F.lit(p95).cast("double"))
             .orderBy(_desc("total_spend"), _asc("customer_id")).limit(n))
 
 
@@ -367,13 +376,10 @@ def month_spine_revenue(star, start: str = DEFAULTS["spine_start"],
                         end: str = DEFAULTS["spine_end"]) -> DataFrame:
     """Revenue of every month in [start, end], zero for months without lines.
 
-    The month series is ``sequence(start, end, 1 month)`` (what the recursive
-    CTE generates); the fact is aggregated per day before the two left joins.
+    The month series is a recursive query; the fact is aggregated per day before the
+    two left joins.
     """
-    spark = star.fact_sales.sparkSession
-    months = spark.range(1).select(
-        F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)),
-                             F.expr("INTERVAL 1 MONTH"))).alias("month_start"))
+    months = month_series(star.fact_sales.sparkSession, start, end)
     per_day = _revenue_by(star.fact_sales, "date_key", count=False)
     cal = _calendar(star).select("date_key", "year", "month")
     spine = months.join(cal, (F.year("month_start") == F.col("year"))
@@ -565,38 +571,34 @@ def days_to_next_order(star, n: int = 20) -> DataFrame:
             .limit(n))
 
 
-def _spend_positions(star) -> DataFrame:
-    """Customers numbered by falling spend; stored, so that counting them reads no fact."""
-    return global_row_number(_customer_spend(star), [_desc("total_spend"), _asc("customer_id")], out="_pos")
-
-
 def spend_quartiles(star, n: int = 20, tiles: int = 4) -> DataFrame:
     """NTILE(4) of customers by spend, the n biggest spenders.
 
-    NTILE needs a row's position and the customer count; both come from one stored
-    numbering.
+    NTILE needs a row's position and the number of customers. The first n positions
+    are those of a top-k; the window over them has n rows.
     """
-    numbered = _spend_positions(star)
-    total = numbered.agg(F.count(F.lit(1))).scalar()
-    return (numbered.where(F.col("_pos") <= n)
-            .select("customer_id", "first_name", "last_name", "total_spend",
-                    ntile_of(F.col("_pos"), total, tiles).alias("spend_quartile"))
-            .orderBy(_desc("total_spend"), _asc("customer_id")))
+    spend = _stored_spend(star)
+    total = spend.agg(F.count(F.lit(1))).scalar()
+    order = [_desc("total_spend"), _asc("customer_id")]
+    top = spend.orderBy(*order).limit(n).withColumn("_pos", F.row_number().over(Window.orderBy(*order)))
+    return (top.select("customer_id", "first_name", "last_name", "total_spend",
+                       ntile_of(F.col("_pos"), total, tiles).alias("spend_quartile"))
+            .orderBy(*order))
 
 
 def quartile_summary(star, tiles: int = 4) -> DataFrame:
     """Customers, smallest, largest and mean spend per spend quartile.
 
-    Quartiles come from a distributed global numbering (no single-task window).
+    The borders of the quartiles are order statistics (refining histograms); counts and
+    sums between them are one aggregation. One row a tile reaches the driver.
     """
-    numbered = _spend_positions(star)
-    total = numbered.agg(F.count(F.lit(1))).scalar()
-    q = numbered.select("total_spend", ntile_of(F.col("_pos"), total, tiles).alias("spend_quartile"))
-    return (q.groupBy("spend_quartile")
-            .agg(F.count(F.lit(1)).alias("num_customers"), F.min("total_spend").alias("min_spend"),
-                 F.max("total_spend").alias("max_spend"), F.sum("total_spend").alias("_sum"))
-            .select("spend_quartile", "num_customers", "min_spend", "max_spend",
-                    avg_money("_sum", "num_customers").alias("avg_spend"))
+    spend = _stored_spend(star)
+    kind = spend.schema["total_spend"].dataType.simpleString()
+    rows = [(t["tile"], t["count"], t["min"], t["max"], t["sum"]) for t in tile_summary(spend, "total_spend", tiles)]
+    found = spend.sparkSession.createDataFrame(
+        rows, f"spend_quartile long, num_customers long, min_spend {kind}, max_spend {kind}, _sum {kind}")
+    return (found.select("spend_quartile", "num_customers", "min_spend", "max_spend",
+                         avg_money("_sum", "num_customers").alias("avg_spend"))
             .orderBy(_asc("spend_quartile")))
 
 
@@ -662,14 +664,62 @@ def pivot_quarter(star) -> DataFrame:
 
 
 def recursive_months(star) -> DataFrame:
-    """Every month from the first sale to the last, with its lines (0 if none)."""
+    """Every month from the first sale to the last, with its lines (0 if none).
+
+    The months are the rows of a recursive query between two scalars of the fact.
+    """
     f = star.fact_sales.select("date_key").join(_calendar(star).select("date_key", "full_date"), "date_key")
     lines = f.groupBy(F.trunc("full_date", "month").alias("month_start")).agg(F.count(F.lit(1)).alias("lines"))
-    months = lines.agg(F.explode(F.sequence(F.min("month_start"), F.max("month_start"),
-                                            F.expr("INTERVAL 1 MONTH"))).alias("month_start"))
+    ends = lines.agg(F.min("month_start").alias("lo"), F.max("month_start").alias("hi")).first()
+    if ends["lo"] is None:
+        return lines
+    months = month_series(lines.sparkSession, ends["lo"].isoformat(), ends["hi"].isoformat())
     return months.join(lines, "month_start", "left").select("month_start", F.coalesce("lines", F.lit(0)).alias("lines"))
 
 
+def order_chains(star, gap_days: int = 45) -> DataFrame:
+    """An order that follows the customer's order before within ``gap_days`` continues
+    its chain; each order with the first order of its chain and its place in it.
+
+    The order before is a distributed LAG, the chains a recursion over links.
+    """
+    orders = (star.fact_sales.select("customer_key", "order_id", "date_key").distinct()
+              .join(_calendar(star).select("date_key", F.col("full_date").alias("order_date")), "date_key")
+              .select("customer_key", "order_id", "order_date"))
+    links = lags(orders, ["customer_key"], ["order_date", "order_id"], {"order_id": "before_id", "order_date": "before_date"})
+    near = F.datediff("order_date", "before_date") <= gap_days
+    links = links.select("order_id", F.when(near, F.col("before_id")).alias("before_id"))
+    links = stored(links, scratch_path(links.sparkSession, "order_links"))
+    return chains(links, "order_id", "before_id").select(
+        F.col("node").alias("order_id"), F.col("first").alias("first_order_id"), "position")
+
+
+# ---------------------------------------------- windows over all lines, without a task a group
+_LINE_ORDER = ["date_key", "order_id", "product_key", "store_key", "quantity", "revenue"]
+
+
+def all_running_totals(star) -> DataFrame:
+    """Running revenue of each customer by day, for every line (lines of a day share it)."""
+    lines = star.fact_sales.select("customer_key", "order_id", "date_key", "revenue")
+    return running_sums(lines, ["customer_key"], ["date_key"], "revenue", "_sum").select(
+        *lines.columns, money(F.col("_sum")).alias("running_total"))
+
+
+def all_moving_averages(star, preceding: int = 2) -> DataFrame:
+    """Mean revenue of a line and the two lines of the customer before it."""
+    lines = star.fact_sales.select("customer_key", *_LINE_ORDER)
+    return moving_sums(lines, ["customer_key"], _LINE_ORDER, "revenue", preceding, "_sum", "_n").select(
+        "customer_key", "date_key", "order_id", "revenue", avg_money("_sum", "_n").alias("moving_avg"))
+
+
+def all_previous_lines(star) -> DataFrame:
+    """Revenue and day of the customer's line before, and the change in revenue, for every line."""
+    lines = star.fact_sales.select("customer_key", *_LINE_ORDER)
+    out = lags(lines, ["customer_key"], _LINE_ORDER, {"revenue": "previous_revenue", "date_key": "previous_date_key"})
+    return out.select("customer_key", "date_key", "order_id", "revenue", "previous_revenue", "previous_date_key",
+                      (F.col("revenue") - F.col("previous_revenue")).cast("decimal(38,2)").alias("change"))
+
+
 REPORTS = {
     "top_products_in_category": top_products_in_category,
     "distinct_categories": distinct_categories,
@@ -711,4 +761,8 @@ REPORTS = {
     "all_next_orders": all_next_orders,
     "pivot_quarter": pivot_quarter,
     "recursive_months": recursive_months,
+    "order_chains": order_chains,
+    "all_running_totals": all_running_totals,
+    "all_moving_averages": all_moving_averages,
+    "all_previous_lines": all_previous_lines,
 }

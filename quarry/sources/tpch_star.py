@@ -42,6 +42,7 @@ class Star:
     skipped: DataFrame | None = None
     location: str | None = None
     skipped_rows: int | None = None
+    dimensions: dict | None = None  # name -> StoredDimension
 
 
 def _nation(t: TableSet) -> DataFrame:
