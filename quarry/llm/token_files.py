@@ -1,8 +1,9 @@
 """Token ids in canonical length-limited Huffman files.
 
 1. Texts are encoded by the tokenizers library. White space separates its words,
-   so a text is cut at blanks and line feeds, and pieces met before come from a
-   bounded memo of the Python worker; the library sees each other piece.
+   so a text is cut at blanks and line feeds (its special tokens have none), and
+   pieces met before come from a bounded memo of the Python worker; the library sees
+   each other piece.
 2. Ranges of (doc_id, text hash) from approximate quantiles number the parts of
    the file; ids are shuffled there once, sorted, and packed into blocks of whole
    documents. The blocks are stored (ids compressed).
@@ -67,7 +68,8 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        # the library reads these in a text as one id each, in this case only
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.memo, self.old = memo, {}
         self[""] = b""
         self.marks = {"": b""}
@@ -109,7 +111,8 @@ class WordIds(dict):
             mark = p[-1] if p[-1] in _MARKS and _letters(p[:-1]) else ""
             bare = p[:-1] if mark else p
             if not bare.islower() and (bare.isascii() or _SIMPLE.fullmatch(bare)):
-                bare = bare.lower()
+                low = bare.lower()
+                bare = low if not any(s in low for s in self.special) else bare
             if bare != p:
                 forms.append((p, bare, mark))
             if bare not in self:
