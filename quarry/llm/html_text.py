@@ -15,7 +15,8 @@ says so by whole tokens (``sidebar``, ``cookie-notice``, ``site-footer``; not
 ``has-sidebar``), and never of an element that holds an ``article`` or ``main``
 region; only comments, adverts, related links, ``nav``, ``aside`` and ``footer``
 keep articles below them (teasers) unless the page has no other text. Ids of
-headings, and of sections inside a region, are names of places, not of roles. An ``article`` or
+headings, and of sections inside a region, are names of places, not of roles
+(but for reader comments). An ``article`` or
 ``main`` region is declared importance 1: entropy never removes anything in it,
 so an article that is published twice stays whole. Text outside such a region
 stays too, unless its branch is noise by the tree or by declaration.
@@ -38,7 +39,8 @@ from __future__ import annotations
 import functools
 import html as references
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -74,7 +76,7 @@ ROLES = frozenset("navigation banner contentinfo complementary search form menu
 NAMES = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer header masthead topbar toolbar banner "
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion cookie cookies "
-    "consent notice gdpr popup modal overlay newsletter subscribe subscription signup login search comment comments "
+    "cookiebar consent notice gdpr popup modal overlay newsletter subscribe subscription signup login search comment comments "
     "disqus respond reply replies share sharing social related recommended recommendations widget pagination pager "
     "skip copyright legal".split())
 #: The ones whose articles are comments and teasers.
@@ -82,8 +84,10 @@ NAMES_WITH_TEASERS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion comment comments "
     "disqus respond reply replies related recommended recommendations widget".split())
 NAMES_OF_HEADERS = frozenset(("header", "masthead"))
+NAMES_OF_COMMENTS = frozenset("comment comments disqus respond".split())
 #: Words that leave the meaning of a token's other words.
-NEUTRAL = frozenset("site box bar wrapper container list links buttons area body div form".split())
+NEUTRAL = frozenset("site box bar wrapper container list links buttons area body div form left right top bottom main "
+                    "page user global mobile primary secondary sticky fixed".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Their header is a row or cell of the text.
 TABLE_PARTS = frozenset("table thead tbody tr th td".split())
@@ -100,25 +104,30 @@ _DIGITS = re.compile(r"\d{3,}")
 _HIDDEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     """An open element."""
 
     tag: str
-    path: str
+    at: int       # number of the nearest block element: itself or one around it
     main: bool    # inside article or main
     role: int     # 0: text of the page; 1: no text; 2: header of an article (headings stay)
-    marks: tuple[int, ...] = ()  # elements around it, and itself, that are declared noise by name
+    mark: int = -1  # nearest element around it, or itself, that is declared noise by name
     children: list[str] = field(default_factory=list)
     first: int = 0  # first block of it
 
 
 @dataclass
 class Page:
-    """Blocks (text, paths of their elements, in main, kept by role) and elements (path, child tags, block range)."""
+    """What a parse leaves: lists whose length is the number of elements or of blocks, however deep they nest."""
 
-    blocks: list[tuple[str, tuple[str, ...], bool, bool]] = field(default_factory=list)
-    nodes: list[tuple[str, str, int, int, bool]] = field(default_factory=list)
+    #: (text, number of the block element it stands in, in main, kept by role)
+    blocks: list[tuple[str, int, bool, bool]] = field(default_factory=list)
+    #: Of each block element: number of the one around it, hash of the path of names to it.
+    around: list[int] = field(default_factory=lambda: [-1])
+    keys: list[int] = field(default_factory=lambda: [0])
+    #: Closed block elements: (number, child tags, first block, block after the last, in main)
+    nodes: list[tuple[int, str, int, int, bool]] = field(default_factory=list)
 
 
 @functools.lru_cache(1 << 14)
@@ -150,6 +159,8 @@ def _role(tag: str, attrs: str, parent: Node) -> tuple[int, str, int, int]:
         elif tag not in ROOTS:
             place = tag in HEADINGS or parent.main and (tag == "section" or "section" in classes)
             words = frozenset().union(*map(_names, classes if place else classes + ids))
+            if place and tag not in HEADINGS:  # reader comments are no section of the text
+                words |= frozenset().union(*map(_names, ids)) & NAMES_OF_COMMENTS
             if region:
                 words = words & NAMES_OF_MAIN if region == 1 else frozenset()
             elif tag in HEADINGS or parent.main and tag in TABLE_PARTS:
@@ -170,13 +181,19 @@ def _role(tag: str, attrs: str, parent: Node) -> tuple[int, str, int, int]:
     return role, name, mark, region
 
 
+#: Elements that the search for optional end tags has to look at.
+_FIXED = FENCES | {"p", *(t for ends in ENDS.values() for t in ends)}
+
+
 def parse(html: str) -> Page:
-    """Blocks and elements of a page, in page order."""
+    """Blocks and elements of a page, in page order. Time and memory are linear in the page."""
     page = Page()
-    stack = [Node("", "", False, 0)]
+    stack = [Node("", 0, False, 0)]
+    open_tags: Counter[str] = Counter()
+    fixed: list[int] = []  # places of the elements in _FIXED on the stack
     parts: list[str] = []
-    marks: list[list[int]] = []  # mark of an element declared noise; 1 or 2 if it holds an article or main
-    found: list[tuple[str, tuple[str, ...], bool, bool, tuple[int, ...]]] = []
+    marks: list[list[int]] = []  # declared noise: mark, 1 or 2 if it holds an article or main, the mark around it
+    found: list[tuple[str, int, bool, bool, int]] = []
 
     def flush() -> None:
         if parts:
@@ -184,13 +201,15 @@ def parse(html: str) -> Page:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
-                paths = tuple(n.path for n in stack if n.tag in BLOCKS and n.tag not in ROOTS)
-                found.append((text, paths, top.main, top.role == 0, top.marks))
+                found.append((text, top.at, top.main, top.role == 0, top.mark))
 
     def close() -> None:
         node = stack.pop()
+        open_tags[node.tag] -= 1
+        if fixed and fixed[-1] == len(stack):
+            fixed.pop()
         if node.tag in BLOCKS and node.tag not in ROOTS:
-            page.nodes.append((node.path, " ".join(node.children), node.first, len(found), node.main))
+            page.nodes.append((node.at, " ".join(node.children), node.first, len(found), node.main))
 
     def text(raw: str) -> None:
         if raw:
@@ -208,7 +227,7 @@ def parse(html: str) -> Page:
             continue
         tag = m[2].lower()
         if m[1]:  # end tag
-            if any(n.tag == tag for n in stack[1:]):
+            if open_tags[tag] > 0:
                 if tag in BLOCKS:
                     flush()
                 while stack[-1].tag != tag:
@@ -227,8 +246,8 @@ def parse(html: str) -> Page:
             continue
         if tag in BLOCKS:
             flush()
-            ends = ENDS.get(tag, frozenset()) | ({"p"} if stack[-1].tag != "" else set())
-            for k in range(len(stack) - 1, 0, -1):
+            ends = ENDS.get(tag, frozenset()) | {"p"}
+            for k in reversed(fixed):
                 if stack[k].tag in ends:
                     while len(stack) > k:
                         close()
@@ -238,41 +257,77 @@ def parse(html: str) -> Page:
             stack[-1].children.append(tag)
         parent = stack[-1]
         role, name, mark, region = _role(tag, m[3], parent)
-        path = f"{parent.path}/{name}" if tag in BLOCKS and tag not in ROOTS else parent.path
+        number = parent.at
+        if tag in BLOCKS and tag not in ROOTS:
+            number = len(page.around)
+            page.around.append(parent.at)
+            page.keys.append(xxhash.xxh64_intdigest(name, page.keys[parent.at]))
         if role == 1 or mark:
             region = 0
-        node = Node(tag, path, parent.main or region > 0, role, parent.marks, first=len(found))
+        node = Node(tag, number, parent.main or region > 0, role, parent.mark, first=len(found))
         if region:
-            for k in parent.marks:
-                marks[k][1] = max(marks[k][1], region)
+            k = parent.mark  # marks further out hold at least what those inside hold
+            while k >= 0 and marks[k][1] < region:
+                marks[k][1] = region
+                k = marks[k][2]
         if mark:
-            node.marks += (len(marks),)
-            marks.append([mark, 0])
+            node.mark = len(marks)
+            marks.append([mark, 0, parent.mark])
         if tag in RAW:  # its content is no markup
             end = re.compile(f"</{tag}(?=[\\s/>]|\\Z)", re.I).search(html, at)
             stop = end.start() if end else size
             at = html.find(">", stop) + 1 if end and html.find(">", stop) >= 0 else size
             continue
         if not m[3].endswith("/") or tag in BLOCKS:
+            if tag in _FIXED:
+                fixed.append(len(stack))
             stack.append(node)
+            open_tags[tag] += 1
     flush()
     while len(stack) > 1:
         close()
-    noise = {k for k, (mark, holds) in enumerate(marks) if holds < mark}
-    if noise and not any(ok and noise.isdisjoint(own) for *_, ok, own in found):
-        noise = {k for k in noise if not marks[k][1]}  # the articles are the only text
-    page.blocks = [(text, paths, main, ok and noise.isdisjoint(own)) for text, paths, main, ok, own in found]
+
+    def kept(noisy: list[bool]) -> list[tuple[str, int, bool, bool]]:
+        return [(text, number, main, ok and not (k >= 0 and noisy[k])) for text, number, main, ok, k in found]
+
+    page.blocks = kept(_below(marks, lambda mark, holds: holds < mark))
+    if marks and not any(ok for *_, ok in page.blocks):  # the articles are the only text
+        page.blocks = kept(_below(marks, lambda mark, holds: holds < mark and not holds))
     return page
 
 
-def _key(path: str) -> int:
-    return xxhash.xxh64_intdigest(path) - (1 << 63)
+def _below(marks: list[list[int]], is_noise: Callable[[int, int], bool]) -> list[bool]:
+    """Whether a mark, or one around it, is noise."""
+    out: list[bool] = []
+    for mark, holds, outer in marks:
+        out.append(is_noise(mark, holds) or outer >= 0 and out[outer])
+    return out
+
+
+_SPREAD = 0x9E3779B97F4A7C15
+_MASK = (1 << 64) - 1
+
+
+def content_hashes(page: Page) -> list[int]:
+    """Hash of the texts inside each of ``page.nodes``, from one running hash over all blocks."""
+    run, power = [0], [1]
+    for block in page.blocks:
+        run.append((run[-1] * _SPREAD + xxhash.xxh64_intdigest(block[0])) & _MASK)
+        power.append(power[-1] * _SPREAD & _MASK)
+    return [(run[last] - run[first] * power[last - first]) & _MASK for _, _, first, last, _ in page.nodes]
+
+
+def _signed(h: int) -> int:
+    return h - (1 << 63)
 
 
 def main_text(page: Page, noise: frozenset[int]) -> str:
     """Blocks left when noise branches go."""
-    return "\n".join(text for text, paths, main, ok in page.blocks
-                     if ok and (main or not noise or not any(_key(p) in noise for p in paths)))
+    noisy = [False] * len(page.around)
+    if noise:
+        for i in range(1, len(noisy)):
+            noisy[i] = noisy[page.around[i]] or _signed(page.keys[i]) in noise
+    return "\n".join(text for text, number, main, ok in page.blocks if ok and (main or not noisy[number]))
 
 
 def _host(url):
@@ -286,13 +341,12 @@ def style_tree(pages: DataFrame) -> DataFrame:
             host, node, kind, mark = [], [], [], []
             for h, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 page = parse(text)
-                for path, children, first, last, main in page.nodes:
+                for (number, children, _, _, main), content in zip(page.nodes, content_hashes(page), strict=True):
                     if main:
                         continue  # declared importance
-                    k = _key(path)
-                    content = xxhash.xxh64_intdigest("\n".join(x[0] for x in page.blocks[first:last]))
                     for what, value in ((0, content), (1, xxhash.xxh64_intdigest(children))):
-                        host.append(h), node.append(k), kind.append(what), mark.append(value - (1 << 63))
+                        host.append(h), node.append(_signed(page.keys[number])), kind.append(what)
+                        mark.append(_signed(value))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(host, pa.string()), pa.array(node, pa.int64()), pa.array(kind, pa.int32()),
                  pa.array(mark, pa.int64())], ["host", "node", "kind", "mark"])

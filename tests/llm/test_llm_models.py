@@ -108,18 +108,59 @@ def test_names_are_whole_tokens_and_regions_stay():
     assert text_of("<div class='related'><article>Only text</article></div>") == "Only text"
     # slug ids of headings and sections
     assert text_of("<article><h2 id='related-work'>Related work</h2><p>a</p><h2 id='search'>Search</h2><p>b</p>"
-                   "<section id='search-results'><h3>Results</h3><p>c</p></section><section id='comments'><p>d</p></section>"
-                   "<div id='legal' class='section level2'><p>e</p></div></article>") == "Related work\na\nSearch\nb\nResults\nc\nd\ne"
+                   "<section id='search-results'><h3>Results</h3><p>c</p></section><section id='comments'><p>first!</p></section>"
+                   "<div id='legal' class='section level2'><p>e</p></div></article>") == "Related work\na\nSearch\nb\nResults\nc\ne"
+    assert text_of("<article><h2 id='comments'>Comments on the law</h2><p>a</p></article>") == "Comments on the law\na"
     assert text_of("<article><table><tr class='header'><th>k</th></tr><tr><td>v</td></tr></table></article>") == "k\nv"
     # what is declared still goes
     for mark in ("class='cookie-notice'", "class='site-footer'", "id='comments'", "class='x sidebar'", "class='relatedLinks'",
-                 "id='ad-300'", "role='search'"):
+                 "id='ad-300'", "role='search'", "class='left-sidebar'", "class='main-menu'", "class='menu-main-container'",
+                 "class='top-nav'", "id='cookiebar'", "class='user-comments'"):
         assert text_of(f"<div {mark}>no</div>{art}") == text_of(f"<article><p>Story</p><div {mark}>no</div></article>") == "Story", mark
     for cards in ("<div class='related'><article>Teaser</article></div>", "<aside><article>Teaser</article></aside>",
                   "<div id='comments'><article class='comment-body'>first!</article></div>", "<article class='teaser'>t</article>"):
         assert text_of(f"<main><p>Story</p></main>{cards}") == text_of(f"{art}{cards}") == "Story", cards
 
 
+def test_deep_markup_is_linear():
+    import time
+    import tracemalloc
+    n = 20_000
+    for page in ("<div class='x'>a" * n, "<nav>" * n + "<article>Story", "<span>" * n + "<h2>t</h2>" * n, "<b>x</i>" * n, "<ul><li>" * n):
+        tracemalloc.start()
+        began = time.process_time()
+        text_of(page)
+        took, most = time.process_time() - began, tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert took < 20 and most < 100e6, (page[:20], took, most)
+    assert text_of("<div>" * 100_000 + "deep") == "deep"
+
+
+def test_entropies_equal_brute_force(spark):
+    g = np.random.default_rng(8)
+    pages = []
+    for i in range(60):
+        zone = ["<p>same</p>", f"<p>text {g.integers(0, 6)}</p>", f"<p>{i}</p><ul><li>x</li></ul>"][int(g.integers(0, 3))]
+        pages.append((i, "http://h.example.com/a", f"<div class='top'><b>Menu</b></div><div class='mid'>{zone}</div><div><div>in</div></div>"))
+    found, seen = {}, {}
+    for _, _, html in pages:
+        top, mid = html.split("<div class='mid'>")[0], html.split("<div class='mid'>")[1].split("</div>")[0]
+        for name, inner in (("top", top), ("mid", mid)):
+            tags = [t for t in ("p", "ul") if f"<{t}>" in inner] if name == "mid" else []
+            found.setdefault(name, []).append((tuple(__import__("re").findall(">([^<]+)<", ">" + inner + "<")), tuple(tags)))
+            seen[name] = seen.get(name, 0) + 1
+
+    def entropy(values):
+        n = len(values)
+        counts = [values.count(v) for v in set(values)]
+        return -sum(c / n * np.log(c / n) for c in counts) / np.log(n)
+
+    want = {(seen[k], round(entropy([c for c, _ in v]), 9), round(entropy([t for _, t in v]), 9)) for k, v in found.items()}
+    tree = html_text.style_tree(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    got = {(r.seen, round(r.content, 9) + 0.0, round(r.presentation, 9) + 0.0) for r in tree}
+    assert {(n, abs(a), abs(b)) for n, a, b in want} <= {(n, abs(a), abs(b)) for n, a, b in got}
+
+
 def test_site_noise_goes_and_repeated_articles_stay(spark):
     rows = []
     for i in range(40):
