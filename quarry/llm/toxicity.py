@@ -3,10 +3,11 @@
 Features of a text (present or not): its words, the starts of its words, word
 bigrams and skip-grams (words i and i+2), hashed to ``2**BITS`` coordinates.
 Training takes a bounded, documented sample of labelled rows (``max_fit``, by a
-hash of the id) dealt into shards of about ``SHARD`` rows; each shard runs
-FTRL-proximal with per-coordinate rates and L1, and the weights are averaged.
-L1 leaves few weights other than 0; those are the model. Scoring reads every
-whole text once, with the weights in the task closure (at most ``2**BITS``).
+hash of the id): its ids are broadcast to the texts, whose features are worked out
+where they lie, and one task runs FTRL-proximal over the features, with
+per-coordinate rates and L1. L1 leaves few weights other than 0; those are the
+model. Scoring reads every whole text once, with the weights in the task closure
+(at most ``2**BITS``).
 
 Defined results: null and empty texts have the bias only, so every text gets a
 score; labels that are null and rows with a null id are not learned from, a null
@@ -30,7 +31,7 @@ from quarry.llm.common import id_bucket, staged
 BITS = 20
 BIAS = 1 << BITS
 STARTS = (5, 7)  # lengths of the word starts
-SHARD = 5000
+MAX_FIT = 20_000
 _WORD = re.compile(r"\w+")
 
 
@@ -70,7 +71,7 @@ def ftrl(rows: list[tuple[np.ndarray, int]], epochs: int = 8, alpha: float = 1.0
     return weights(np.arange(BIAS + 1))
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_fit: int = 20_000) -> dict[int, float]:
+def learn(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> dict[int, float]:
     """Weights other than 0 of (doc_id, text) and (doc_id, toxic) rows."""
     marks = (labels.where("toxic is not null and doc_id is not null")
              .groupBy("doc_id").agg(F.max("toxic").alias("y")))
@@ -78,26 +79,29 @@ def learn(docs: DataFrame, labels: DataFrame, max_fit: int = 20_000) -> dict[int
     if not n:
         return {}
     u = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("toxic-fit")), 11) / F.lit(float(1 << 53))
-    sample = marks.where(u < min(1.0, max_fit / n)).select(F.col("doc_id"), F.col("y").cast("int"))
-    rows = staged(docs.select("doc_id", "text").join(sample, "doc_id"), "toxic_sample")
-    shards = max(1, round(min(n, max_fit) / SHARD))
+    sample = staged(marks.where(u < min(1.0, max_fit / n)).select(F.col("doc_id"), F.col("y").cast("int")), "toxic_sample")
+
+    def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = [features(t).astype(np.int32) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(at, pa.list_(pa.int32()))], ["doc_id", "y", "at"])
+
+    # about max_fit ids and labels: the broadcast is bounded by the parameter
+    rows = staged(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "y")
+                  .mapInArrow(prepare, "doc_id long, y int, at array<int>"), "toxic_features")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: dict[int, list] = {}
+        found = []
         for b in batches:
-            for s, i, t, y in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                own.setdefault(s, []).append((i, features(t), y))
-        for found in own.values():
-            # an order that doesn't depend on the partition's
-            found.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0], len(r[1])))
-            w = ftrl([(at, y) for _, at, y in found])
-            at = np.flatnonzero(w)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], ["at", "w"])
-
-    shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)).cast("int").alias("shard")
-    dealt = rows.select(shard, "doc_id", "text", "y").repartition(shards, "shard")
-    found = dealt.mapInArrow(train, "at long, w double").groupBy("at").agg(F.sum("w").alias("w")).collect()
-    return {r["at"]: r["w"] / shards for r in found}
+            for i, y, at in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                found.append((i, at.values.to_numpy().astype(np.int64), y))
+        # an order that doesn't depend on the partition's
+        found.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0], len(r[1])))
+        w = ftrl([(at, y) for _, at, y in found])
+        at = np.flatnonzero(w)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], ["at", "w"])
+
+    return {r["at"]: r["w"] for r in rows.coalesce(1).mapInArrow(train, "at long, w double").collect()}
 
 
 def score(docs: DataFrame, weights: dict[int, float]) -> DataFrame:
