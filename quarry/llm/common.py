@@ -33,6 +33,16 @@ def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def framed(docs: DataFrame, *more: Column) -> DataFrame:
+    """The rows as one struct ``_doc`` beside ``more`` columns: their names can't clash with working columns."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *more)
+
+
+def unframed(names: list[str]) -> list[Column]:
+    """The columns of ``_doc``."""
+    return [F.col("_doc").getField(c).alias(c) for c in names]
+
+
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, WORD_BREAK, -1), "")
 

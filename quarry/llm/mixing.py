@@ -15,7 +15,11 @@
    (each is repeated, none thrown away), or a given number. In the first case rates
    are projected onto rate >= 1, so every document stays; as the soft memberships of
    repeated documents add to the other domains, the scale is enlarged until the
-   bound costs nothing (``MOST_GROWTH`` at most; beyond it targets are only approached).
+   bound costs nothing. Where no scale does that (the wanted mix isn't one of the
+   documents' memberships) the targets are approached: ``target_gap`` says how far off
+   the largest share is. A fit that doesn't settle raises.
+4. Copies: a rate is rounded up or down by a hash of its row, so that emitted tokens
+   have the rates' shares in expectation.
 
 All counts cover whole texts and every row. Defined results: a null or empty
 text has no tokens, weight 0, the prior as posterior and rate 1; labels of
@@ -30,15 +34,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import let, literals, staged, text_of, words_of
+from quarry.llm.common import framed, let, literals, staged, text_of, unframed, words_of
 
 #: Strings whose rates describe a text.
 PROBES = ("a", "e", "h", "o", "u", "w", "é", "ê", "ç", "ó", "ñ", "ä", "ü", "ß", "%", "|", "!")
 BINS = 8
 TEMPERATURE = 3.0
 RIDGE = 0.02
-#: The scale grows by this factor at most where soft memberships would push rates below their bound.
-MOST_GROWTH = 2.0
+#: Steps that one expression holds before the rates are written.
+STEPS_HELD = 24
 #: Target weights of the registered query and the pipeline.
 TARGETS = {"en": 0.55, "de": 0.16, "fr": 0.16, "es": 0.13}
 
@@ -122,10 +126,11 @@ def _scale_for(share: list[float], goal: list[float], both: list[list[float]], r
 
 def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float],
               scale: float | None = None, ridge: float = RIDGE, least: float = 0.0, tolerance: float = 1e-4,
-              max_steps: int = 24) -> tuple[DataFrame, list[dict]]:
-    """Adds ``rate`` (``least`` or more) to rows with n_tokens and p; and the shares after every step.
+              max_steps: int = 500) -> tuple[DataFrame, list[dict]]:
+    """Adds ``rate`` (``least`` or more) and ``target_gap`` to rows with n_tokens and p; and the shares after every step.
 
     Domains without a target keep their present share; the targets are scaled to sum to the rest.
+    ``target_gap``: largest distance of a reached share from its target, as shares of all tokens.
     """
     k = len(domains)
     total = rows.agg(F.sum("n_tokens").alias("n"),
@@ -133,7 +138,7 @@ def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float],
                      *[F.sum(F.col("n_tokens") * F.get("p", F.lit(i)) * F.get("p", F.lit(j))).alias(f"m{i}_{j}")
                        for i in range(k) for j in range(i, k)]).first()
     if not total["n"]:
-        return rows.withColumn("rate", F.lit(1.0)), []
+        return rows.withColumns({"rate": F.lit(1.0), "target_gap": F.lit(0.0)}), []
     share = [total[f"s{i}"] / total["n"] for i in range(k)]
     own = [c if d not in targets else 0.0 for d, c in zip(domains, share, strict=True)]
     told = [max(0.0, targets.get(d, 0.0)) for d in domains]
@@ -144,32 +149,38 @@ def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float],
     if scale is None:
         scale = max(c / g for c, g in zip(share, goal, strict=True) if g)
         both = [[total[f"m{min(i, j)}_{max(i, j)}"] / total["n"] for j in range(k)] for i in range(k)]
-        scale = max(scale, min(MOST_GROWTH * scale, _scale_for(share, goal, both, ridge, least)))
+        scale = max(scale, _scale_for(share, goal, both, ridge, least))
     goal = [g * scale for g in goal]
-    now, history, rate = share, [], F.lit(1.0)
-    step = 1 / (1 + ridge)
-    for _ in range(max_steps):
+    now, history, step = share, [], 1 / (1 + ridge)
+    held, rate = rows.withColumn("_r", F.lit(1.0)), F.col("_r")
+    for done in range(1, max_steps + 1):
         pull = [step * (s - g) / max(c, 1e-9) for s, g, c in zip(now, goal, share, strict=True)]
         dot = reduce(lambda a, b: a + b, [F.get("p", F.lit(i)) * F.lit(x) for i, x in enumerate(pull)])
         rate = F.greatest(F.lit(float(least)), F.lit(1 - step * ridge) * rate - dot + F.lit(step * ridge))
-        rated = rows.withColumn("_r", F.when(F.col("n_tokens") > 0, rate).otherwise(F.lit(1.0)))
+        rated = held.withColumn("_r", F.when(F.col("n_tokens") > 0, rate).otherwise(F.lit(1.0)))
         got = rated.agg(*[F.sum(F.col("n_tokens") * F.col("_r") * F.get("p", F.lit(i))).alias(f"s{i}")
                           for i in range(k)]).first()
         before, now = now, [got[f"s{i}"] / total["n"] for i in range(k)]
         history.append(dict(zip(domains, now, strict=True)))
-        if max(abs(a - b) for a, b in zip(before, now, strict=True)) < tolerance:
+        if max(abs(a - b) for a, b in zip(before, now, strict=True)) < tolerance * max(1.0, scale):
             break
-    return rated.withColumnRenamed("_r", "rate"), history
+        if done % STEPS_HELD == 0:
+            held, rate = staged(rated, "mix_steps"), F.col("_r")
+    else:
+        raise RuntimeError(f"rates did not settle in {max_steps} steps: {history[-1]}")
+    reached = sum(now)
+    gap = max(abs(s / reached - g / sum(goal)) for s, g in zip(now, goal, strict=True)) if reached and sum(goal) else 0.0
+    return rated.withColumnRenamed("_r", "rate").withColumn("target_gap", F.lit(float(gap))), history
 
 
 def fitted(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None,
            scale: float | None = None) -> tuple[DataFrame, list[str]]:
-    """(doc_id, text_hash, n_tokens, p, rate) for every row of ``docs``, and the domains."""
-    keyed = docs.withColumn("text_hash", F.xxhash64("text"))
+    """(doc_id, text_hash, n_tokens, p, rate, target_gap) for every row of ``docs``, and the domains."""
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     rated = staged(rates(keyed, "doc_id", "text_hash"), "mix_rates")
     model = learn_domains(rated, labelled)
     if model is None:
-        return rated.withColumns({"p": F.array().cast("array<double>"), "rate": F.lit(1.0)}).drop("r"), []
+        return rated.withColumns({"p": F.array().cast("array<double>"), "rate": F.lit(1.0), "target_gap": F.lit(0.0)}).drop("r"), []
     rows = staged(posteriors(rated, model).drop("r"), "mix_posteriors")
     out, _ = fit_rates(rows, model["domains"], TARGETS if targets is None else targets, scale,
                        least=1.0 if scale is None else 0.0)
@@ -177,23 +188,19 @@ def fitted(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | Non
 
 
 def copies(rate: Column, *key: str) -> Column:
-    """Whole number of copies: the rate rounded up or down by a hash of the row.
-
-    A rate within 0.02 of a whole number is that number.
-    """
+    """Whole number of copies: the rate rounded up or down by a hash of the row, so its mean is the rate."""
     u = F.shiftrightunsigned(F.xxhash64(*key, F.lit("copies")), 11) / F.lit(float(1 << 53))
-    near = F.round(rate)
-    return F.when(F.abs(rate - near) < 0.02, near).otherwise(F.floor(rate + u)).cast("int")
+    return F.floor(rate + u).cast("int")
 
 
 def mixing_plan(docs: DataFrame, labelled: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, domain (likeliest), posterior, rate and copies of every document."""
+    """doc_id, n_tokens, domain (likeliest), posterior, rate, copies and target_gap of every document."""
     out, domains = fitted(docs, labelled)
     names = F.array(*[F.lit(d) for d in domains]).cast("array<string>")
     best = F.array_max("p")
     return out.select(
         "doc_id", "n_tokens", F.get(names, F.array_position("p", best).cast("int") - 1).alias("domain"),
-        best.alias("posterior"), "rate", copies(F.col("rate"), "doc_id", "text_hash").alias("copies"))
+        best.alias("posterior"), "rate", copies(F.col("rate"), "doc_id", "text_hash").alias("copies"), "target_gap")
 
 
 def mix(docs: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -201,10 +208,9 @@ def mix(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     out, _ = fitted(docs, labelled)
     n = staged(out.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"),
                           copies(F.col("rate"), "doc_id", "text_hash").alias("_n")).distinct(), "mix_copies")
-    joined = docs.withColumn("_t", F.xxhash64("text")).join(
-        n, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("_t").eqNullSafe(F.col("_h")))
-    return (joined.where("_n > 0")
-            .withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns))
+    own = framed(docs, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_t"))
+    joined = own.join(n, F.col("_id").eqNullSafe(F.col("_d")) & F.col("_t").eqNullSafe(F.col("_h"))).where("_n > 0")
+    return (joined.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*unframed(docs.columns)))
 
 
 def domain_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import let, staged, text_of
+from quarry.llm.common import framed, let, staged, text_of, unframed
 
 # Fixed values of the contract: kinds in their order, patterns, smallest lengths.
 ASSIGN = (r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?"
@@ -219,7 +219,7 @@ def redact(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     found = find_secrets(docs, scope).where(F.size("spans") > 0)
     hits = staged(found.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"),
                                merged(F.col("spans")).alias("_s")).distinct(), "secret_spans")
-    text = F.col("text")
+    text = F.col("_text")
     labels = F.array(*[F.lit(f"[{k}]") for k in KINDS])
 
     def cut(s: Column) -> Column:
@@ -230,10 +230,11 @@ def redact(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
         return F.concat(F.array_join(pieces, ""),
                         F.substring(text, F.element_at(s, -1)["end"] + 1, F.length(text)))
 
-    joined = docs.withColumn("_t", F.xxhash64("text")).join(
-        hits, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("_t").eqNullSafe(F.col("_h")), "left")
-    out = joined.withColumn("text", F.when(F.col("_s").isNotNull(), cut(F.col("_s"))).otherwise(text))
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("_s").isNotNull(), F.length("text").cast("long"))
-                             .otherwise(F.col("n_chars")))
-    return out.select(*names)
+    own = framed(docs, F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.xxhash64("text").alias("_t"))
+    joined = own.join(hits, F.col("_id").eqNullSafe(F.col("_d")) & F.col("_t").eqNullSafe(F.col("_h")), "left")
+    hit = F.col("_s").isNotNull()
+    joined = joined.withColumn("_text", F.when(hit, cut(F.col("_s"))).otherwise(text))
+    changed = {"text": text, "n_chars": F.when(hit, F.length(text).cast("long")).otherwise(F.col("_doc.n_chars"))
+               if "n_chars" in names else None}
+    return joined.select(*[c if n not in changed else changed[n].alias(n)
+                           for n, c in zip(names, unframed(names), strict=True)])

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import staged, text_of
+from quarry.llm.common import framed, staged, text_of, unframed
 from quarry.llm.graph import connected_components
 
 SHINGLE = 3
@@ -278,12 +278,11 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     stay = staged(heads.join(found, "fp").groupBy("component").agg(F.min("head").alias("head"))
                   .select(F.col("head.doc_id").alias("_id"), F.col("head.text_hash").alias("_hash")),
                   "simhash_stay")
-    kept = (docs.withColumn("_h", F.xxhash64("text"))
-            .join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash")),
-                  "left_semi"))
+    kept = (framed(docs, F.col("doc_id").cast("long").alias("_key"), F.xxhash64("text").alias("_h"))
+            .join(stay, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash")), "left_semi"))
     again = (prints.join(stay, prints.doc_id.eqNullSafe(stay["_id"])
                          & (prints.text_hash == stay["_hash"]), "left_semi")
              .groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count())
     if again:  # rows repeated with their id: one of them
-        kept = kept.dropDuplicates(["doc_id", "_h"])
-    return kept.select(*docs.columns)
+        kept = kept.dropDuplicates(["_key", "_h"])
+    return kept.select(*unframed(docs.columns))
