@@ -30,12 +30,14 @@ import os
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,12 +50,23 @@ LIMIT = 16
 STRIDE = 128
 BLOCK = 1 << 18
 MEMO = 400_000
-PIECE = 1 << 19  # characters whose new pieces go to the library in one call
+PIECE = 1 << 23  # bytes of text that are cut and encoded at once
 _MARKS = (",", ".")
 #: Pieces whose characters the library's NFC keeps, with the same lower case in any context.
 _SIMPLE = re.compile("[\x21-\x7e\xa1-\u012f\u0132-\u017f]+")
 
 
+def _byte_level() -> list[str]:
+    """Character of each byte in a byte-level vocabulary: printable Latin-1 stands for itself, the
+    other bytes take the characters from U+0100 on, in order."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+
+
+_BYTE_LEVEL = _byte_level()
+
+
 def _letters(piece: str) -> bool:
     """Letters only, also after the library's normalisation."""
     return piece.isalpha() and (piece.isascii() or unicodedata.normalize("NFC", piece).lower().isalpha())
@@ -75,32 +88,25 @@ class WordIds(dict):
         self.marks = {"": b""}
         for m in _MARKS:
             self.marks[m] = np.array(self.library.encode(m, add_special_tokens=False).ids, np.uint16).tobytes()
-        self.ends = np.zeros(1 << 16, bool)  # ids that close a word
-        self.ends[[i for t, i in self.library.get_vocab().items() if t.endswith("</w>")]] = True
+        self.model = self.library.model
         if self.library.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits")
 
     def _learn(self, pieces: list[str]) -> None:
-        """Ids of pieces that aren't known. A piece of letters is one word to the library,
-        so such pieces go to it as one text, whose ids are parted at the word ends."""
-        words = [p for p in pieces if len(p) <= 64 and _letters(p)]
-        for a in range(0, len(words), 4096):
-            some = words[a:a + 4096]
-            found = self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)
-            ids = np.array(found[0].ids, np.uint16)
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != len(some):  # letters that the library changes or parts after all
-                pieces = pieces + [w for w in some if w not in self]
-                continue
-            raw, at = ids.tobytes(), 0
-            for w, e in zip(some, (2 * ends).tolist(), strict=True):
-                self[w] = raw[at:e]
-                at = e
-        rest = [p for p in pieces if p not in self]
+        """Ids of pieces that aren't known. Lower-case letters are one word that the library's
+        normalisation keeps, so its model takes them as they are, in byte-level characters."""
+        rest, tokens = [], self.model.tokenize
+        for p in pieces:
+            plain = p.isascii()
+            if p.isalpha() and p.islower() and (plain or _SIMPLE.fullmatch(p)):
+                found = tokens(p if plain else "".join(map(_BYTE_LEVEL.__getitem__, p.encode())))
+                self[p] = array("H", [t.id for t in found]).tobytes()
+            else:
+                rest.append(p)
         for p, e in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self[p] = np.array(e.ids, np.uint16).tobytes()
+            self[p] = array("H", e.ids).tobytes()
 
-    def _resolve(self, pieces: set[str]) -> None:
+    def _resolve(self, pieces: list[str]) -> None:
         """Put ``pieces`` into the memo. Letters with one lower case everywhere are lowered, and
         the library parts letters from one closing mark, so such forms come from the bare word."""
         todo, forms, old = set(), [], self.old
@@ -125,20 +131,34 @@ class WordIds(dict):
         for p, bare, mark in forms:
             self[p] = self[bare] + self.marks[mark]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, 16 bits each."""
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in order, and how many each text has. Texts are cut and their distinct
+        pieces found by Arrow; the memo is asked once a piece."""
         if len(self) > self.memo:
             self.old = dict(self)
             self.clear()
             self[""] = b""
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        met = set().union(*cut)  # a small table for the joins; the memo is asked once a piece
-        ids = dict(zip(met, map(self.get, met), strict=True))
-        new = {p for p, x in ids.items() if x is None}
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = cut.flatten().dictionary_encode()
+        met = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.get, met))
+        new = [p for p, x in zip(met, found, strict=True) if x is None]
         if new:
             self._resolve(new)
-            ids.update((p, self[p]) for p in new)
-        return [b"".join(map(ids.__getitem__, c)) for c in cut]
+            found = [self[p] if x is None else x for p, x in zip(met, found, strict=True)]
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 2, dtype=np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)),
+                                         pa.array(np.frombuffer(b"".join(found), np.uint16)))
+        ids = lists.take(coded.indices)
+        total = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy(), dtype=np.int64)])
+        edge = cut.offsets.to_numpy()
+        return ids.flatten().to_numpy(), total[edge[1:] - edge[0]] - total[edge[:-1] - edge[0]]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, 16 bits each."""
+        ids, n = self.encode_column(pa.array(texts, pa.string()))
+        raw, ends = ids.tobytes(), 2 * np.cumsum(n)
+        return [raw[e - 2 * k:e] for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
 
 
 @lru_cache(maxsize=1)
@@ -146,16 +166,13 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def _groups(texts: list[str]) -> Iterator[list[str]]:
-    own, size = [], 0
-    for t in texts:
-        own.append(t)
-        size += len(t)
-        if size >= PIECE:
-            yield own
-            own, size = [], 0
-    if own:
-        yield own
+def _groups(texts: pa.Array) -> Iterator[pa.Array]:
+    """Runs of texts of about ``PIECE`` bytes (a longer text by itself)."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
+    start = 0
+    for end in (np.flatnonzero(np.diff(size // PIECE, append=-1)) + 1).tolist():
+        yield texts[start:end]
+        start = end
 
 
 def sort_key() -> Column:
@@ -185,10 +202,13 @@ def blocks_of(docs: DataFrame, path: str, end: int = END) -> DataFrame:
         last = np.array([end], np.uint16).tobytes()
         for b in batches:
             n, out = [], []
-            for group in _groups(b.column(3).to_pylist()):
-                for ids in own.encode(group):
-                    n.append(len(ids) // 2 + 1)
-                    out.append(press.compress(ids + last))
+            for group in _groups(b.column(3)):
+                ids, size = own.encode_column(group)
+                raw, at = ids.tobytes(), 0
+                for k in size.tolist():
+                    n.append(k + 1)
+                    out.append(press.compress(raw[at:at + 2 * k] + last))
+                    at += 2 * k
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:3], pa.array(n, pa.int64()), pa.array(out, pa.binary())],
                 ["part", "doc_id", "h", "n", "ids"])
