@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -43,13 +44,15 @@ from quarry.llm.common import staged, text_of
 A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 MEMO = 300_000
 #: Characters that are aligned at once (a longer text by itself), links that are looked up at once.
-GROUP = 1 << 19
+GROUP = 1 << 20
 LINKS = 1 << 20
 #: Distinct id pairs whose counts are broadcast at once, and that a task holds.
 MOST_PAIRS = 1 << 21
 _SPACE = "▁"
 _DOUBLE = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+_MARKS = (",", ".")
+_LETTER_MARK = re.compile(r"[^\W\d_][.,]")
 _B_ID = 1 << 16  # a pair is a * _B_ID + b
 
 
@@ -85,52 +88,134 @@ class Tokenizers:
         # no piece reaches over a line feed, or over a blank after something else
         self.may_cut = not any("\n" in p or _SPACE in p.lstrip(_SPACE) for p in pieces)
         self.size_a, self.size_b = (pa.array([len(x) for x in t], pa.int64()) for t in (self.bytes_a, self.bytes_b))
+        self.first_a, self.first_b = (np.array([t[0] if t else 0 for t in x], np.uint8) for x in (self.bytes_a, self.bytes_b))
         self.name_a, self.name_b = (pa.array([str(i) for i in range(len(t))]) for t in (self.bytes_a, self.bytes_b))
+        # no piece of B holds a letter and a mark after it; A's pattern parts them
+        self.parts_marks = not any(_LETTER_MARK.search(p) for p in pieces)
+        self.marks_a = {m: array("H", self.a.encode(m, add_special_tokens=False).ids).tobytes() for m in _MARKS}
+        self.marks_b = {m: array("H", [self.b.piece_to_id(m)]).tobytes() for m in _MARKS}
         self.memo = memo
-        self.ids_a: dict[str, bytes] = {}
-        self.ids_b: dict[str, bytes] = {}
-        self.bad: set[str] = set()
+        self.forget()
 
     def chunks(self, text: str) -> list[str]:
         """Pieces of a space and ``text``. The blank before a piece that starts with neither
         blank nor line feed is left out."""
         if not self.may_cut:
             return [" " + text]
-        if not (text[0].isspace() or text[-1].isspace() or _DOUBLE.search(text)):
-            return text.replace("\n", " \n").split(" ")
         first, *rest = _CUT.split(" " + text)
         return [first if text[0].isspace() else first[1:], *(p if p[0] == "\n" else p[1:] for p in rest)]
 
+    def cut(self, texts: list[str]) -> pa.ListArray:
+        """The chunks of each text; texts with plain blanks are cut by Arrow. An empty text has the chunk ''."""
+        odd = [bool(t) and (not self.may_cut or t[0].isspace() or t[-1].isspace() or _DOUBLE.search(t) is not None) for t in texts]
+        plain = pa.array([t for t, o in zip(texts, odd, strict=True) if not o], pa.string())
+        lists = pc.split_pattern(pc.replace_substring(plain, "\n", " \n"), " ")
+        if not any(odd):
+            return lists
+        rest = pa.array([self.chunks(t) for t, o in zip(texts, odd, strict=True) if o], pa.list_(pa.string()))
+        place = np.empty(len(texts), np.int64)
+        place[np.argsort(np.array(odd), kind="stable")] = np.arange(len(texts))
+        return pa.concat_arrays([lists, rest]).take(pa.array(place))
+
+    def _run(self, chunks: list[str], blank: str, each: int) -> list[str]:
+        """Learn chunks that follow one another after a ``blank``, ``each`` in one text to B; what's left over.
+
+        A token that starts with the blank starts a chunk. The bytes of all tokens are compared with
+        the text's at once.
+        """
+        left: list[str] = []
+        mark = blank.encode()
+        for k in range(0, len(chunks), 4096):
+            some = chunks[k:k + 4096]
+            text = "".join(blank + c.lstrip(blank) for c in some)
+            x = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            y: list[int] = []
+            for i in range(0, len(some), each):
+                part = "".join(blank + c.lstrip(blank) for c in some[i:i + each])
+                found = self.b.encode(part[1:] if blank == " " else part, num_threads=1)
+                y += found if blank == " " else found[1:]
+            raw = text.encode()
+            sides = []
+            for ids, names, first in ((x, self.bytes_a, self.first_a), (y, self.bytes_b, self.first_b)):
+                own = np.array(ids, np.uint16)
+                starts = np.flatnonzero(first[own] == mark[0])
+                sides.append((own.tobytes(), [*(2 * starts).tolist(), 2 * len(own)], b"".join(map(names.__getitem__, ids)) == raw))
+            if all(ok and len(starts) == len(some) + 1 for _, starts, ok in sides):
+                for (ids, starts, _), memo in zip(sides, (self.ids_a, self.ids_b), strict=True):
+                    memo.update((c, ids[i:j]) for c, i, j in zip(some, starts, starts[1:], strict=False))
+            else:
+                left += some
+        return left
+
     def learn(self, chunks: list[str]) -> None:
-        full = [c if c[0] in " \n" else " " + c for c in chunks]
+        """Ids of chunks that aren't in the memo."""
+        words, lines, rest, marked = {}, [], [], []
+        for c in chunks:
+            if c[-1] in _MARKS and self.parts_marks and c[:-1].isalpha():
+                marked.append(c)  # neither tokenizer joins a letter and a mark after it
+                if c[:-1] not in self.ids_a:
+                    words[c[:-1]] = None
+            elif " " in c or _SPACE in c or c[-1].isspace() or c[0].isspace() and not (c[0] == "\n" and c[1:].isalpha()):
+                rest.append(c)
+            elif c[0] == "\n":
+                lines.append(c)
+            else:
+                words[c] = None
+        rest += self._run(list(words), " ", 64) + self._run(lines, "\n", 64)
+        full = [c if c[0] in " \n" else " " + c for c in rest]
         found_a = self.a.encode_batch_fast(full, add_special_tokens=False)
         # B puts a blank before a text, which is the first one here; before a line feed it is taken off again
         found_b = self.b.encode([f if f[0] == "\n" else f[1:] for f in full], num_threads=1)
-        for c, f, x, y in zip(chunks, full, found_a, found_b, strict=True):
+        for c, f, x, y in zip(rest, full, found_a, found_b, strict=True):
             ids, raw = x.ids, f.encode()
             y = y[1:] if f[0] == "\n" else y
             if (b"".join(map(self.bytes_a.__getitem__, ids)) != raw or b"".join(map(self.bytes_b.__getitem__, y)) != raw):
                 self.bad.add(c)
-            self.ids_a[c] = np.array(ids, np.uint16).tobytes()
-            self.ids_b[c] = np.array(y, np.uint16).tobytes()
+            self.ids_a[c] = array("H", ids).tobytes()
+            self.ids_b[c] = array("H", y).tobytes()
+        for c in marked:
+            if c[:-1] in self.bad:
+                self.bad.add(c)
+            for memo, ids in ((self.ids_a, self.marks_a), (self.ids_b, self.marks_b)):
+                memo[c] = memo[c[:-1]] + ids[c[-1]]
 
     def encode(self, texts: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
-        """Ids of A and of B of each text; none where the bytes of one aren't those of the text."""
+        """Ids of A and of B of each text; none where the bytes of one aren't those of the text.
+
+        Distinct chunks are looked up; the lists of all chunks are taken and flattened by Arrow.
+        """
         if len(self.ids_a) > self.memo:
-            self.ids_a, self.ids_b, self.bad = {}, {}, set()
-        cut = [self.chunks(t) if t else [] for t in texts]
-        met = set().union(*cut)
+            self.forget()
+        cut = self.cut(texts)
+        coded = cut.flatten().dictionary_encode()
+        met = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         new = [c for c in met if c not in self.ids_a]
         if new:
             self.learn(new)
-        if odd := met & self.bad:
-            cut = [[] if not odd.isdisjoint(c) else c for c in cut]
-        return (_lists([b"".join(map(self.ids_a.__getitem__, c)) for c in cut]),
-                _lists([b"".join(map(self.ids_b.__getitem__, c)) for c in cut]))
+        n_chunks, indices = pc.list_value_length(cut), coded.indices
+        if self.bad and any(odd := [c in self.bad for c in met]):
+            hit = np.array(odd)[indices.to_numpy()]
+            parent = pc.list_parent_indices(cut).to_numpy()
+            lost = np.bincount(parent[hit], minlength=len(cut)) > 0
+            indices = indices.filter(pa.array(~lost[parent]))
+            n_chunks = pc.if_else(pa.array(lost), 0, n_chunks)
+        edge = np.concatenate([[0], np.cumsum(n_chunks.to_numpy())])
+        out = []
+        for memo in (self.ids_a, self.ids_b):
+            per_chunk = _lists([memo[c] for c in met]).take(indices)
+            total = np.concatenate([[0], np.cumsum(pc.list_value_length(per_chunk).to_numpy())])
+            out.append(pa.ListArray.from_arrays(pa.array(total[edge].astype(np.int32)), per_chunk.flatten()))
+        return out[0], out[1]
+
+    def forget(self) -> None:
+        self.ids_a: dict[str, bytes] = {"": b""}
+        self.ids_b: dict[str, bytes] = {"": b""}
+        self.bad: set[str] = set()
 
 
 def _lists(ids: list[bytes]) -> pa.ListArray:
-    ends = np.cumsum([0, *(len(x) // 2 for x in ids)]).astype(np.int32)
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.uint16)))
 
 

@@ -166,6 +166,22 @@ def test_alignment_equals_brute_force(spark, most_pairs):
     assert sorted(map(tuple, got), key=str) == aligned_by_hand(rows)
 
 
+def test_chunked_ids_equal_the_libraries():
+    import public_tokenizers as P
+    own = alignment.Tokenizers(P.path(alignment.A), P.path(alignment.B), memo=30)
+    parts = [*PARTS, "Word", "word", "word,", "Été.", "naïve,", "x.y", "日本語", "日本。", "ﬁn", "ǅ", "a\u0301", "\n", "\n", " ", " "]
+    for _ in range(60):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(20)]
+        a, b = own.encode(texts)
+        for t, x, y in zip(texts, a.to_pylist(), b.to_pylist(), strict=True):
+            want_a = own.a.encode(" " + t, add_special_tokens=False).ids if t else []
+            want_b = own.b.encode(t) if t else []
+            raw = (" " + t).encode()
+            if t and not b"".join(own.bytes_a[i] for i in want_a) == b"".join(own.bytes_b[i] for i in want_b) == raw:
+                want_a, want_b = [], []
+            assert (x, y) == (want_a, want_b), repr(t)
+
+
 def test_alignment_empty_table(spark):
     assert alignment.alignment(frame(spark, [])).count() == 0
     got = alignment.alignment(frame(spark, [(1, None)])).collect()
