@@ -44,6 +44,84 @@ def test_language_batch_independent():
     assert a.sum() > 20 and (a == language_id.ngram_counts(text.upper())).all() and language_id.ngram_counts("12 --") is None
 
 
+def plain_ngrams(text):
+    """The hashed counts by loops over characters."""
+    codes, last = [0], False
+    for ch in text.lower():
+        if ch.isalpha():
+            codes.append(ord(ch))
+        elif last:
+            codes.append(0)
+        last = ch.isalpha()
+    codes.append(0)
+    out, m = np.zeros(language_id.DIMS, int), (1 << 32) - 1
+    for i in range(len(codes) - 1):
+        two = codes[i] * 0x9E3779B1 + codes[i + 1] * 0x85EBCA77 & m
+        out[(two * 0x165667B1 & m) >> 20] += 1
+        if i + 2 < len(codes):
+            out[((two ^ codes[i + 2] * 0xC2B2AE3D & m) * 0x27D4EB2F & m) >> 20] += 1
+    return out
+
+
+def test_language_equals_plain_nearest_centroid(spark):
+    docs = table(spark, SMALL, "documents").where("doc_id < 300")
+    model = language_id.learn(docs.where(~language_id.held_out()))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    # document frequencies over all learning documents
+    known = [r.text for r in docs.where(~language_id.held_out()).where("lang is not null").collect()]
+    seen = [plain_ngrams(t) > 0 for t in known if any(c.isalpha() for c in t)]
+    assert np.allclose(model["idf"], np.log((1 + len(seen)) / (1 + np.sum(seen, 0))) + 1)
+    for r in language_id.predict(docs, model).collect():
+        counts = plain_ngrams(texts[r.doc_id])
+        v = [np.log(1 + c) * w for c, w in zip(counts, model["idf"], strict=True)]
+        norm = sum(x * x for x in v) ** 0.5
+        near = [sum(a * b for a, b in zip(v, c, strict=True) if a) / norm for c in model["centres"].astype(float)]
+        best = max(range(len(near)), key=lambda i: near[i])
+        assert abs(r.score - near[best]) < 1e-4 and near[model["langs"].index(r.lang_pred)] <= near[best]
+        assert r.lang_pred == model["langs"][best] or max(n for n, g in zip(near, model["langs"], strict=True) if g == r.lang_pred) > near[best] - 1e-5
+
+
+def test_toxicity_equals_plain_ftrl(spark):
+    g = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(40)] + ["awful", "rotten"]
+    rows = [(i, " ".join(g.choice(words[:40], 8)) + (" awful rotten" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    found = toxicity.learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+
+    def coordinates(text):
+        m, out, own = (1 << 64) - 1, set(), [w.lower() for w in text.split()]
+        mix, crc = 0x9E3779B97F4A7C15, lambda w: zlib.crc32(w.encode())
+        for i, w in enumerate(own):
+            out.add((crc(w) * mix & m) >> 44)
+            out |= {((crc(w[:n]) + n) * 0xD6E8FEB86659FD93 & m) >> 44 for n in (5, 7) if len(w) > n}
+            for gap, salt in ((1, 0xBF58476D1CE4E5B9), (2, 0x94D049BB133111EB)):
+                if i + gap < len(own):
+                    out.add((((crc(w) * mix & m) ^ (crc(own[i + gap]) * salt & m)) * mix & m) >> 44)
+        return [*out, toxicity.BIAS]
+
+    order = sorted(rows, key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0]))
+    z, n = {}, {}
+
+    def weight(j):
+        a = z.get(j, 0.0)
+        return 0.0 if abs(a) <= 8 else -(a - np.sign(a) * 8) / (1 + n.get(j, 0.0) ** 0.5 + 1)
+
+    for _ in range(8):
+        for _, text, y in order:
+            at = coordinates(text)
+            w = {j: weight(j) for j in at}
+            grad = 1 / (1 + np.exp(-sum(w.values()))) - y
+            for j in at:
+                step = (n.get(j, 0.0) + grad * grad) ** 0.5 - n.get(j, 0.0) ** 0.5
+                z[j] = z.get(j, 0.0) + grad - step * w[j]
+                n[j] = n.get(j, 0.0) + grad * grad
+    want = {j: weight(j) for j in z if weight(j)}
+    assert want.keys() == found.keys() and all(abs(want[j] - found[j]) < 1e-9 for j in want)
+    for r in toxicity.score(docs, found).collect():
+        total = sum(want.get(j, 0.0) for j in coordinates(rows[r.doc_id][1]))
+        assert abs(r.score - 1 / (1 + np.exp(-total))) < 1e-9
+
+
 def test_toxicity_held_out(spark):
     g = np.random.default_rng(0)
     plain = [f"word{i}" for i in range(300)]
