@@ -81,9 +81,12 @@ def create(incoming: DataFrame, natural_key: str, key: str, attrs: list[str], lo
     now = now if now is not None else F.current_timestamp()
     keyed = (assign_surrogate_keys(incoming.select(natural_key, *attrs), natural_key, key)
              .withColumn(LOADED_AT, now).select(key, natural_key, *attrs, LOADED_AT))
-    rows = incoming.count()
-    buckets = _wanted_buckets(rows, buckets)
-    used = _buckets_of(incoming, natural_key, buckets)
+    # one row a bucket
+    sizes = {r["b"]: r["count"] for r in incoming.groupBy(bucket_of(natural_key, buckets).alias("b")).count().collect()}
+    rows = sum(sizes.values())
+    wanted = _wanted_buckets(rows, buckets)
+    used = sorted(sizes) if wanted == buckets else _buckets_of(incoming, natural_key, wanted)
+    buckets = wanted
     return StoredDimension(natural_key, key, attrs, keyed.schema.json(), buckets, rows, rows,
                            _write(keyed, location, natural_key, buckets, used))
 
@@ -94,13 +97,14 @@ def _buckets_of(rows: DataFrame, natural_key: str, buckets: int) -> list[int]:
 
 
 def merge(dim: StoredDimension, incoming: DataFrame, location: str, now: Column | None = None,
-          checked: bool = False) -> tuple[StoredDimension, list[int]]:
+          checked: bool = False, keys_in_order: bool = True) -> tuple[StoredDimension, list[int]]:
     """(dimension after the batch, buckets rewritten below ``location``).
 
     * natural key in both: key and load time stay, every attribute is the batch's (a null
       overwrites); rows that don't change aren't news;
     * only in the dimension: the row stays;
-    * only in the batch: a key after the largest, in natural-key order.
+    * only in the batch: a key after the largest, in natural-key order (or, without
+      ``keys_in_order``, in the order the new rows are stored in: no sort).
 
     ``incoming`` should be stored; its natural key must be unique and not null.
     """
@@ -132,7 +136,8 @@ def merge(dim: StoredDimension, incoming: DataFrame, location: str, now: Column
     changed = news.where("_q_key is not null").select(F.col("_q_key").alias(dim.key), nat, *attrs, F.col("_q_at").alias(LOADED_AT))
     after = kept.unionByName(changed)
     if fresh_rows:
-        fresh = assign_surrogate_keys(news.where("_q_key is null").select(nat, *attrs), nat, dim.key, start_after=dim.max_key)
+        fresh = assign_surrogate_keys(news.where("_q_key is null").select(nat, *attrs), nat, dim.key, start_after=dim.max_key,
+                                      in_order=keys_in_order)
         after = after.unionByName(fresh.withColumn(LOADED_AT, now).select(*columns))
     if buckets != dim.buckets:
         after = stored(after, scratch_path(spark, f"{dim.key}_split"))

@@ -17,14 +17,18 @@ from quarry.operators.quality import require_key
 
 # --------------------------------------------------------------------------- K1
 def assign_surrogate_keys(df: DataFrame, natural_key: str, key_col: str,
-                          start_after: int = 0) -> DataFrame:
+                          start_after: int = 0, in_order: bool = True) -> DataFrame:
     """Dense surrogate keys ``start_after + 1 ...`` in natural-key order.
 
+    Without ``in_order`` every stored partition gets a range of keys as long as its
+    rows: still dense, but in the order the rows lie in, and without a sort. That is
+    enough for increments, whose keys only have to be new and to stay.
+
     The natural key must be unique and not null (:func:`quarry.operators.quality.require_key`
     checks it; the load does so before numbering). The numbering is distributed (:func:`global_row_number`), so no task sees
     more than one sorted range of keys.
     """
-    numbered = global_row_number(df, [F.col(natural_key)], out="_q_rn", unique=True)
+    numbered = global_row_number(df, [F.col(natural_key)] if in_order else [], out="_q_rn", unique=True)
     return (numbered.withColumn(key_col, (F.col("_q_rn") + F.lit(start_after)).cast("long"))
             .drop("_q_rn")
             .select(key_col, *[c for c in df.columns]))

@@ -56,9 +56,14 @@ def numbered_ranges(df: DataFrame, order_cols: list[Column | str], out: str = "r
 
     ``rows`` has ``out``, the 1-based position, and ``_q_pid``, the range a row lies
     in. ``ranges`` has one row for each range with rows: ``_q_pid``, ``_q_off`` (rows
-    before it) and ``_q_n`` (its rows). Both read the checkpoint, not the input.
+    before it) and ``_q_n`` (its rows). Both read the checkpoint, not the input. Without
+    order columns rows are numbered as they are stored, and nothing is exchanged.
     """
-    ordered = sorted_checkpoint(df, order_cols, unique)
+    if order_cols:
+        ordered = sorted_checkpoint(df, order_cols, unique)
+    else:
+        ensure_checkpoint_dir(df.sparkSession)
+        ordered = df.checkpoint(eager=True)
     pid = F.spark_partition_id()
     # monotonically_increasing_id = partition index << 33 | position in partition
     pos = ordered.select(

@@ -318,6 +318,9 @@ FROM visit""")
     q["pivot_quarter"] = with_star(SALE, f"""
 SELECT category, {", ".join(f"{money(f'sum(CASE quarter WHEN {k} THEN revenue END)')} AS q{k}" for k in (1, 2, 3, 4))}
 FROM sale GROUP BY category""")
+    q["unique_customers_by_year"] = with_star(SALE, """
+SELECT category, CAST(year AS BIGINT) AS year, count(DISTINCT customer_key) AS unique_customers, count(*) AS total_line_items
+FROM sale GROUP BY ALL""")
     q["order_chains"] = with_star("""visit AS (
     SELECT DISTINCT customer_key, order_id, full_date FROM fact_sales JOIN dim_date USING (date_key)
 ),
@@ -617,5 +620,6 @@ FROM dim_date""")
 def oracle_queries() -> dict[str, str]:
     out = {}
     out.update(report_sql())
+    out.update({f"catalog_{name}": out[name] for name in ("best_order_per_customer", "unique_customers_by_category")})
     out.update(etl_sql())
     return out

@@ -27,7 +27,7 @@ from quarry.plans.ingest import silver_for
 from quarry.plans.load import (
     DIMENSIONS, Source, current, date_rules, dimension_rules, fact_rules, refresh, run_load, star_for,
 )
-from quarry.session import scratch_path
+from quarry.session import scratch_path, together
 from quarry.sources.files import RAW_SCHEMAS, read_csv, stored, write_csv
 from quarry.sources.tables import TableSet
 from quarry.sources.tpch_star import raw_tables, source_signature
@@ -221,8 +221,9 @@ def _scd1(spark: SparkSession, d: str, name: str, first_batch: Column) -> DataFr
     first = raw_df.where(first_batch | only_first)
     if "signup_date" in attrs:  # the first load types the date but keeps text as landed
         first = first.withColumn("signup_date", lenient_iso_date("signup_date"))
-    first = stored(first.select(nat, *attrs), scratch_path(spark, f"{name}_first"))
-    second = stored(cleaner(raw_df).where(~only_first).select(nat, *attrs), scratch_path(spark, f"{name}_second"))
+    second = cleaner(raw_df).where(~only_first)
+    first, second = together(lambda: stored(first.select(nat, *attrs), scratch_path(spark, f"{name}_first")),
+                             lambda: stored(second.select(nat, *attrs), scratch_path(spark, f"{name}_second")))
     before = dimension_store.create(first, nat, key, attrs, scratch_path(spark, name))
     after, _ = dimension_store.merge(before, second, scratch_path(spark, name))
     return after.read(spark).select(key, nat, *attrs)
@@ -269,7 +270,8 @@ def constraint_violations(spark: SparkSession, d: str) -> DataFrame:
     store = _clean_stores(raw.stores)
     store = store.unionByName(store.where(s % 3 == 0)).withColumn(
         "store_name", F.when(s % 4 == 0, F.repeat("store_name", F.lit(30))).otherwise(F.col("store_name")))
-    cust, prod, store = candidate(cust, "customers"), candidate(prod, "products"), candidate(store, "stores")
+    cust, prod, store = together(lambda: candidate(cust, "customers"), lambda: candidate(prod, "products"),
+                                 lambda: candidate(store, "stores"))
     orders = raw.orders.withColumn("order_date", parse_messy_date("order_date")).withColumn(
         "channel", F.when(o % 401 == 0, F.repeat("channel", F.lit(10))).otherwise(F.col("channel")))
     days = star.dim_date

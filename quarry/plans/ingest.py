@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quarry.operators.cleaning import (
     ORDER_COLUMNS, clean_customers, clean_products, clean_stores, tag_orders,
 )
-from quarry.session import scratch_path
+from quarry.session import scratch_path, together
 from quarry.sources.files import stored
 from quarry.sources.tpch_star import Raw, raw_tables, source_signature
 
@@ -40,7 +40,7 @@ def run_ingest(spark: SparkSession, raw: Raw, location: str) -> Silver:
         "products": clean_products(raw.products),
         "stores": clean_stores(raw.stores),
     }
-    dims = {name: stored(df, f"{location}/{name}") for name, df in dims.items()}
+    dims = dict(zip(dims, together(*[lambda n=name, df=df: stored(df, f"{location}/{n}") for name, df in dims.items()]), strict=True))
     # no exchange follows the observation: the tasks that write count what they write
     seen = Observation()
     tagged = stored(tag_orders(raw.orders, dims["customers"], dims["products"], dims["stores"])

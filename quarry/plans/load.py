@@ -18,13 +18,12 @@ from pyspark.sql import functions as F
 from quarry.operators import dimension_store
 from quarry.operators.dimension_store import StoredDimension
 from quarry.operators.modeling import (
-    FACT_COLUMNS, SKIP_COLUMNS, dim_date_between, dim_date_from_range, insert_only_merge,
-    looked_up_lines, year_bounds,
+    FACT_COLUMNS, SKIP_COLUMNS, dim_date_between, insert_only_merge, looked_up_lines,
 )
 from quarry.operators.quality import ConstraintViolation, TableRules, enforce, rule_counts
 from quarry.plans import versions
 from quarry.plans.versions import ConcurrentCommit, Version, latest, published  # noqa: F401
-from quarry.session import scratch_path
+from quarry.session import scratch_path, together
 from quarry.sources.files import stored
 from quarry.sources.tables import TableSet
 from quarry.sources.tpch_star import (
@@ -86,15 +85,12 @@ def fact_rules(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
                                     ("store_key", dim_store, "store_key"), ("date_key", dim_date, "date_key")])
 
 
-def calendar_of(spark: SparkSession, orders: DataFrame, calendar: tuple[str, str] | None) -> DataFrame:
-    """The configured range, or the whole years the orders span (bounded, else an error)."""
-    if calendar is not None:
-        return dim_date_between(spark, *calendar)
-    bounds = year_bounds(orders, "order_date")
-    years = bounds.select(F.year("end") - F.year("start") + 1).first()[0]
-    if years is not None and years > MAX_CALENDAR_YEARS:
-        raise ConstraintViolation(f"dim_date: order dates span {years} years; state the calendar range")
-    return dim_date_from_range(bounds)
+def _whole_years(first: int, last: int) -> tuple[str, str]:
+    """The calendar from the first to the last date key: whole years, bounded, else an error."""
+    lo, hi = first // 10000, last // 10000
+    if hi - lo + 1 > MAX_CALENDAR_YEARS:
+        raise ConstraintViolation(f"dim_date: order dates span {hi - lo + 1} years; state the calendar range")
+    return f"{lo:04d}-01-01", f"{hi:04d}-12-31"
 
 
 def run_load(spark: SparkSession, source, location: str, previous: Star | None = None,
@@ -103,62 +99,77 @@ def run_load(spark: SparkSession, source, location: str, previous: Star | None =
 
     The looked-up lines are written once, by ``skipped`` and ``sale_year`` and sorted
     by date inside a file, so row groups prune by ``date_key``; facts and skipped
-    lines are two folders of that one table and add up to the input.
+    lines are two folders of that one table and add up to the input. Without a stated
+    ``calendar`` it spans the years of the lines, whose dates the same write observes.
     """
-    landed = {name: stored(getattr(source, table).select(nat, *attrs), scratch_path(spark, f"landed_{table}"))
-              for name, (table, nat, _, attrs) in DIMENSIONS.items()}
+    landed = dict(zip(DIMENSIONS, together(*[
+        lambda t=table, c=(nat, *attrs): stored(getattr(source, t).select(*c), scratch_path(spark, f"landed_{t}"))
+        for table, nat, _, attrs in DIMENSIONS.values()]), strict=True))
     enforce(dimension_rules(*landed.values()))
-    dates = calendar_of(spark, source.orders, calendar)
-    if previous is not None:
-        dates = insert_only_merge(previous.dim_date, dates, "date_key")
-    dates = stored(dates, f"{location}/dim_date")
-    enforce([date_rules(dates)])
-    dims: dict[str, StoredDimension] = {}
-    for name, (_, nat, key, attrs) in DIMENSIONS.items():
-        path = f"{location}/{name}"
+
+    def dimension(name: str) -> StoredDimension:
+        _, nat, key, attrs = DIMENSIONS[name]
         if previous is None:
-            dims[name] = dimension_store.create(landed[name], nat, key, attrs, path, checked=True)
-        else:
-            dims[name], _ = dimension_store.merge(previous.dimensions[name], landed[name], path, checked=True)
+            return dimension_store.create(landed[name], nat, key, attrs, f"{location}/{name}", checked=True)
+        return dimension_store.merge(previous.dimensions[name], landed[name], f"{location}/{name}", checked=True)[0]
+
+    def days(span: tuple[str, str] | None) -> DataFrame:
+        dates = dim_date_between(spark, *(span or ("1970-01-01", "1970-01-01"))).where(F.lit(span is not None))
+        if previous is not None:
+            dates = insert_only_merge(previous.dim_date, dates, "date_key")
+        dates = stored(dates, f"{location}/dim_date")
+        enforce([date_rules(dates)])
+        return dates
+
+    *made, dates = together(*[lambda n=name: dimension(n) for name in DIMENSIONS],
+                            lambda: days(calendar) if calendar else None)
+    dims = dict(zip(DIMENSIONS, made, strict=True))
     out = {name: dim.read(spark) for name, dim in dims.items()}
-    written, counts = _write_lines(source.orders, out, dates, f"{location}/fact_lines")
+    written, seen = _write_lines(source.orders, out, dates, f"{location}/fact_lines")
+    counts = {rule: n for rule, n in seen.items() if rule not in ("first", "last")}
     if broken := {rule: n for rule, n in counts.items() if n and rule != "skipped"}:
         raise ConstraintViolation("; ".join(f"fact_sales.{rule}: {n}" for rule, n in broken.items()))
+    if dates is None:
+        dates = days(None if seen["first"] is None else _whole_years(seen["first"], seen["last"]))
     fact = written.where(~F.col("skipped")).select("sale_id", *FACT_COLUMNS, "loaded_at", "sale_year")
     skipped = written.where("skipped").select(*SKIP_COLUMNS)
     return Star(out["dim_customer"], out["dim_product"], out["dim_store"], dates, fact, skipped, location,
                 skipped_rows=counts["skipped"], dimensions=dims)
 
 
-def _write_lines(orders: DataFrame, dims: dict[str, DataFrame], dates: DataFrame,
-                 path: str) -> tuple[DataFrame, dict[str, int]]:
-    """The looked-up lines as written, and what the write observed: skipped lines, breaches of each rule.
+def _write_lines(orders: DataFrame, dims: dict[str, DataFrame], dates: DataFrame | None,
+                 path: str) -> tuple[DataFrame, dict]:
+    """The looked-up lines as written, and what the write observed: skipped lines, breaches of each
+    rule, first and last day.
 
     The customer, product and store keys come out of the dimensions, so only the date's
-    needs a check of its own. Months lie together; Spark splits busy ones by their
-    size (rebalance). What is observed stands after the last exchange, in the tasks that
-    write, so a stage that runs again isn't counted twice; ``sale_id`` is given there
-    as well: task and position, whatever order a task that runs again meets its rows in.
+    needs a check of its own, and only if the calendar is stated (``dates``). Months lie
+    together; Spark splits busy ones by their size (rebalance). What is observed stands
+    after the last exchange, in the tasks that write, so a stage that runs again isn't
+    counted twice; ``sale_id`` is given there as well: task and position, whatever
+    order a task that runs again meets its rows in.
     """
     lines = looked_up_lines(orders, dims["dim_customer"], dims["dim_product"], dims["dim_store"])
-    known = dates.select(F.col("date_key").alias("_q_date"))
-    lines = (lines.join(known, F.col("date_key") == F.col("_q_date"), "left")
-             .withColumn("sale_year", (F.col("date_key") / 10000).cast("smallint"))
+    unknown = F.lit(False)
+    if dates is not None:
+        lines = lines.join(dates.select(F.col("date_key").alias("_q_date")), F.col("date_key") == F.col("_q_date"), "left")
+        unknown = F.col("date_key").isNotNull() & F.col("_q_date").isNull()
+    columns = [c for c in lines.columns if c != "_q_date"]
+    lines = (lines.withColumn("sale_year", (F.col("date_key") / 10000).cast("smallint"))
              .withColumn("_q_month", (F.col("date_key") / 100).cast("int")))
     rules = fact_rules(lines, dims["dim_customer"], dims["dim_product"], dims["dim_store"], dates)
     kept = ~F.col("skipped")
-    counts = {rule: F.count_if(kept & broken) for rule, broken in rule_counts(rules)}
-    counts["foreign_key:date_key"] = F.count_if(kept & F.col("date_key").isNotNull() & F.col("_q_date").isNull())
-    counts["skipped"] = F.count_if("skipped")
+    watched = {rule: F.count_if(kept & broken) for rule, broken in rule_counts(rules)}
+    watched |= {"foreign_key:date_key": F.count_if(kept & unknown), "skipped": F.count_if("skipped"),
+                "first": F.min("date_key"), "last": F.max("date_key")}
     seen = Observation()
     dealt = (lines.hint("rebalance", F.col("_q_month")).sortWithinPartitions("skipped", "sale_year", "date_key")
-             .observe(seen, *[c.alias(f"c{i}") for i, c in enumerate(counts.values())])
-             .select((F.monotonically_increasing_id() + 1).alias("sale_id"),
-                     *[c for c in lines.columns if c not in ("_q_date", "_q_month", "sale_year")],
+             .observe(seen, *[c.alias(f"c{i}") for i, c in enumerate(watched.values())])
+             .select((F.monotonically_increasing_id() + 1).alias("sale_id"), *columns,
                      F.current_timestamp().alias("loaded_at"), "sale_year"))
     written = stored(dealt, path, ["skipped", "sale_year"])
     found = seen.get
-    return written, {rule: found.get(f"c{i}") or 0 for i, rule in enumerate(counts)}
+    return written, {rule: found.get(f"c{i}") or (None if rule in ("first", "last") else 0) for i, rule in enumerate(watched)}
 
 
 # ------------------------------------------------------------------ versions

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.numeric import avg_money, money, pct_money
 from quarry.functions.text import full_name
+from quarry.operators.distinct_bitmaps import distinct_counts, key_bitmaps
 from quarry.operators.ordering import global_lead, global_ranks, ntile_of
 from quarry.operators.recursion import chains, month_series
 from quarry.operators.scans import lags, moving_sums, running_sums
@@ -318,6 +319,29 @@ def unique_customers_by_category(star) -> DataFrame:
             .orderBy(_desc("unique_customers"), _asc("category")))
 
 
+def customer_bitmaps(star) -> DataFrame:
+    """Stored bitmaps of the customers of each month and category: what distinct counts of
+    any months read instead of the fact."""
+    lines = (star.fact_sales.select("product_key", "customer_key", "date_key")
+             .join(star.dim_product.select("product_key", "category"), "product_key")
+             .withColumn("month_key", (F.col("date_key") / 100).cast("int")))
+    found = key_bitmaps(lines, ["category", "month_key"], "customer_key")
+    return stored(found, scratch_path(found.sparkSession, "customer_bitmaps"))
+
+
+def unique_customers_between(bitmaps: DataFrame, first_month: int, last_month: int) -> DataFrame:
+    """Distinct customers and lines per category in the months (yyyymm) of a period, from
+    stored bitmaps."""
+    some = bitmaps.where(F.col("month_key").between(first_month, last_month))
+    return distinct_counts(some, ["category"], "unique_customers", "total_line_items")
+
+
+def unique_customers_by_year(star) -> DataFrame:
+    """Distinct customers and lines per category of every year, or-ed from monthly bitmaps."""
+    yearly = customer_bitmaps(star).withColumn("year", (F.col("month_key") / 100).cast("long"))
+    return distinct_counts(yearly, ["category", "year"], "unique_customers", "total_line_items")
+
+
 def customers_without_orders(star, start: str | None = None, end: str | None = None,
                              n: int = 10) -> DataFrame:
     """Customers with no line at all, or none in a given period (anti-join)."""
@@ -762,6 +786,7 @@ REPORTS = {
     "pivot_quarter": pivot_quarter,
     "recursive_months": recursive_months,
     "order_chains": order_chains,
+    "unique_customers_by_year": unique_customers_by_year,
     "all_running_totals": all_running_totals,
     "all_moving_averages": all_moving_averages,
     "all_previous_lines": all_previous_lines,

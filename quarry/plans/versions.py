@@ -82,21 +82,18 @@ def published(spark: SparkSession, warehouse: str) -> DataFrame:
 
 def _claim(spark: SparkSession, fs, written, name) -> bool:
     """Give the file ``written`` the free ``name``; False if it's taken."""
-    if fs.getScheme() == "file":  # a rename replaces files here, a link doesn't
-        files, file = spark._jvm.java.nio.file.Files, spark._jvm.java.io.File
-        try:
+    try:
+        if fs.getScheme() == "file":  # a rename replaces files here, a link doesn't
+            files, file = spark._jvm.java.nio.file.Files, spark._jvm.java.io.File
             files.createLink(file(name.toUri().getPath()).toPath(), file(written.toUri().getPath()).toPath())
-            won = True
-        except Py4JJavaError as e:
-            if e.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
-                raise
-            won = False
-    else:
-        won = not fs.exists(name) and fs.rename(written, name)
-        if won:
             return True
-    fs.delete(written, False)
-    return won
+        return not fs.exists(name) and fs.rename(written, name)
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+    finally:
+        fs.delete(written, False)
 
 
 def commit(spark: SparkSession, warehouse: str, number: int, location: str, skipped_rows: int,

@@ -16,9 +16,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 
 def build_session(master: str = "local[8]", app_name: str = "quarry",
                   shuffle_partitions: int | None = None,
@@ -96,3 +101,13 @@ def input_signature(spark: SparkSession, paths: list[str]) -> tuple:
         files = fs.listStatus(path)
         out.append((name, sum(f.getLen() for f in files), max((f.getModificationTime() for f in files), default=0)))
     return tuple(out)
+
+
+def together(*jobs: Callable[[], T]) -> list[T]:
+    """Results of independent Spark jobs, submitted side by side so that small ones don't wait for each other.
+
+    The first error is raised after all have ended.
+    """
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        running = [pool.submit(job) for job in jobs]
+    return [r.result() for r in running]

@@ -86,6 +86,19 @@ def test_buckets_double_when_they_grow(spark, monkeypatch):
         assert spark.read.parquet(path).where(dimension_store.bucket_of("nid", 16) != int(b)).count() == 0
 
 
+def test_keys_of_increments_stay_without_a_sort(spark, people_dim):
+    known = {r.nid: r.k for r in people_dim.read(spark).collect()}
+    dim = people_dim
+    for step in range(1, 4):
+        batch = people(spark, range(1000 * step, 1000 * step + 150), "n").union(people(spark, range(0, 200, 9), f"v{step}")).repartition(5)
+        batch = batch.checkpoint()
+        dim, _ = dimension_store.merge(dim, batch, scratch_path(spark, "dim-test"), keys_in_order=False)
+        now = {r.nid: r.k for r in dim.read(spark).collect()}
+        assert known.items() <= now.items() and sorted(now.values()) == list(range(1, 201 + 150 * step))
+        known = now
+    assert dim.max_key == 650
+
+
 def test_empty_dimension(spark):
     dim = dimension_store.create(people(spark, [], "a"), "nid", "k", ["name", "city"], scratch_path(spark, "dim-test"))
     assert dim.read(spark).count() == 0
