@@ -4,11 +4,14 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from quarry.operators.modeling import keyed_lines, looked_up_lines, priced_lines
 from quarry.plans.ingest import run_ingest
+from quarry.plans.load import load_star
 from quarry.sources import tpch_star
 from quarry.sources.tables import TableSet
-from quarry.sources.tpch_star import order_lines, raw_tables
+from quarry.sources.tpch_star import order_headers, order_items, order_lines, raw_tables
 
 
 @pytest.fixture(scope="module")
@@ -56,3 +59,30 @@ def test_ingest_of_dealt_lines_is_the_same(spark, tables, tmp_path, monkeypatch)
         silver = run_ingest(spark, raw_tables(spark, tables.data_dir), str(tmp_path / str(size)))
         found.append((rows_of(silver.orders), rows_of(silver.quarantine), silver.rows_in, silver.rows_clean))
     assert found[0] == found[1] and found[0][0] and found[0][1]
+
+
+def test_lookups_by_order_equal_lookups_by_line(spark, tables):
+    key = lambda df, old, new: df.select(F.col(old).alias(new)).withColumn(new.replace("_id", "_key"), F.col(new) + 100)
+    c, s = key(tables.customer, "c_custkey", "customer_id"), key(tables.supplier, "s_suppkey", "store_id")
+    p = key(tables.part.withColumnRenamed("p_retailprice", "unit_price"), "p_partkey", "product_id").join(
+        tables.part.select(F.col("p_partkey").alias("product_id"), F.col("p_retailprice").alias("unit_price")), "product_id")
+    want = rows_of(looked_up_lines(order_lines(tables), c, p, s))
+    for tasks in (None, 11):
+        assert rows_of(priced_lines(keyed_lines(order_items(tables), c, p, s, order_headers(tables), tasks))) == want
+    assert len(want) > 1500
+
+
+def test_natural_keys_are_stored_for_skipped_lines_only(spark, tables):
+    star = load_star(spark, tables.data_dir)
+    ids = ["customer_id", "product_id", "store_id"]
+    lines = spark.read.parquet(f"{star.location}/fact_lines")
+    assert lines.where("not skipped").agg(*[F.count(c) for c in ids]).first() == (0, 0, 0)
+    raw = order_lines(tables)
+    assert lines.count() == raw.count() and star.skipped_rows == star.skipped.count() > 100
+    known = (raw.join(tables.customer, F.col("customer_id") == F.col("c_custkey"), "left")
+             .join(tables.part, F.col("product_id") == F.col("p_partkey"), "left")
+             .join(tables.supplier, F.col("store_id") == F.col("s_suppkey"), "left"))
+    large = F.coalesce(F.col("quantity") * F.col("p_retailprice") >= 1e10, F.lit(False))
+    lost = known.where("c_custkey is null or p_partkey is null or s_suppkey is null" ).select("order_id", *ids)
+    lost = lost.unionByName(known.where("c_custkey + p_partkey + s_suppkey is not null").where(large).select("order_id", *ids))
+    assert rows_of(star.skipped.select("order_id", *ids)) == rows_of(lost)
