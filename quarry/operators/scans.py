@@ -60,13 +60,15 @@ def running_sums(df: DataFrame, by: list[str], order_cols: list[str], value: str
 
 
 def over_rows_before(df: DataFrame, by: list[str], order_cols: list[str], k: int,
-                     outs: Callable[[WindowSpec], dict[str, Column]]) -> DataFrame:
+                     outs: Callable[[WindowSpec], dict[str, Column]], tie: str | None = None) -> DataFrame:
     """Adds columns that look at a row and at most the ``k`` rows before it in its group.
 
     ``outs`` gets the window (partitioned and ordered, no frame) and names the new
-    columns. Rows that tie on all order columns stand in an arbitrary but stored order.
+    columns. Rows that tie on all order columns stand in the order of the stored number
+    ``tie``, which no two rows share; without one, in an arbitrary but stored order
+    (which takes a write of all rows).
     """
-    rows, ranges = numbered_ranges(df, _sort(by, order_cols), out=_RN)
+    rows, ranges = numbered_ranges(df, _sort(by, [*order_cols, *([tie] if tie else [])]), out=_RN, unique=tie is not None)
     first = ranges.select(F.col(_PID).alias("_q_to"), (F.col("_q_off") + 1).alias("_q_first"))
     last = ranges.select(_PID, (F.col("_q_off") + F.col("_q_n")).alias("_q_end"))
     # the last k rows of a range belong to the halo of every range that begins within k rows after them
@@ -82,14 +84,15 @@ def over_rows_before(df: DataFrame, by: list[str], order_cols: list[str], k: int
 
 
 def moving_sums(df: DataFrame, by: list[str], order_cols: list[str], value: str, preceding: int,
-                sum_out: str, count_out: str) -> DataFrame:
+                sum_out: str, count_out: str, tie: str | None = None) -> DataFrame:
     """SUM and COUNT of ``value`` over ROWS BETWEEN ``preceding`` PRECEDING AND CURRENT ROW."""
     return over_rows_before(df, by, order_cols, preceding, lambda w: {
         sum_out: F.sum(value).over(w.rowsBetween(-preceding, 0)),
-        count_out: F.count(value).over(w.rowsBetween(-preceding, 0))})
+        count_out: F.count(value).over(w.rowsBetween(-preceding, 0))}, tie)
 
 
-def lags(df: DataFrame, by: list[str], order_cols: list[str], values: dict[str, str], offset: int = 1) -> DataFrame:
+def lags(df: DataFrame, by: list[str], order_cols: list[str], values: dict[str, str], offset: int = 1,
+         tie: str | None = None) -> DataFrame:
     """``LAG(value, offset)`` for every row; ``values``: column -> name of its lag."""
     return over_rows_before(df, by, order_cols, offset, lambda w: {
-        out: F.lag(c, offset).over(w) for c, out in values.items()})
+        out: F.lag(c, offset).over(w) for c, out in values.items()}, tie)

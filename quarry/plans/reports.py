@@ -722,6 +722,11 @@ def order_chains(star, gap_days: int = 45) -> DataFrame:
 _LINE_ORDER = ["date_key", "order_id", "product_key", "store_key", "quantity", "revenue"]
 
 
+def _line_number(star) -> str | None:
+    """The stored number of a line, unique in a load, if the fact has it."""
+    return "sale_id" if "sale_id" in star.fact_sales.columns else None
+
+
 def all_running_totals(star) -> DataFrame:
     """Running revenue of each customer by day, for every line (lines of a day share it)."""
     lines = star.fact_sales.select("customer_key", "order_id", "date_key", "revenue")
@@ -731,15 +736,17 @@ def all_running_totals(star) -> DataFrame:
 
 def all_moving_averages(star, preceding: int = 2) -> DataFrame:
     """Mean revenue of a line and the two lines of the customer before it."""
-    lines = star.fact_sales.select("customer_key", *_LINE_ORDER)
-    return moving_sums(lines, ["customer_key"], _LINE_ORDER, "revenue", preceding, "_sum", "_n").select(
+    tie = _line_number(star)
+    lines = star.fact_sales.select("customer_key", *_LINE_ORDER, *([tie] if tie else []))
+    return moving_sums(lines, ["customer_key"], _LINE_ORDER, "revenue", preceding, "_sum", "_n", tie).select(
         "customer_key", "date_key", "order_id", "revenue", avg_money("_sum", "_n").alias("moving_avg"))
 
 
 def all_previous_lines(star) -> DataFrame:
     """Revenue and day of the customer's line before, and the change in revenue, for every line."""
-    lines = star.fact_sales.select("customer_key", *_LINE_ORDER)
-    out = lags(lines, ["customer_key"], _LINE_ORDER, {"revenue": "previous_revenue", "date_key": "previous_date_key"})
+    tie = _line_number(star)
+    lines = star.fact_sales.select("customer_key", *_LINE_ORDER, *([tie] if tie else []))
+    out = lags(lines, ["customer_key"], _LINE_ORDER, {"revenue": "previous_revenue", "date_key": "previous_date_key"}, tie=tie)
     return out.select("customer_key", "date_key", "order_id", "revenue", "previous_revenue", "previous_date_key",
                       (F.col("revenue") - F.col("previous_revenue")).cast("decimal(38,2)").alias("change"))
 

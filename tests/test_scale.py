@@ -4,11 +4,13 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry.operators.modeling import keyed_lines, looked_up_lines, priced_lines
 from quarry.plans.ingest import run_ingest
 from quarry.plans.load import load_star
+from quarry.plans.reports import all_moving_averages, all_previous_lines
 from quarry.sources import tpch_star
 from quarry.sources.tables import TableSet
 from quarry.sources.tpch_star import order_headers, order_items, order_lines, raw_tables
@@ -86,3 +88,20 @@ def test_natural_keys_are_stored_for_skipped_lines_only(spark, tables):
     lost = known.where("c_custkey is null or p_partkey is null or s_suppkey is null" ).select("order_id", *ids)
     lost = lost.unionByName(known.where("c_custkey + p_partkey + s_suppkey is not null").where(large).select("order_id", *ids))
     assert rows_of(star.skipped.select("order_id", *ids)) == rows_of(lost)
+
+
+def test_lines_with_a_number_are_not_written_for_tie_breakers(spark, tables, monkeypatch):
+    import quarry.operators.ordering as ordering
+    star, plain, written = load_star(spark, tables.data_dir), ordering.scratch_path, []
+    monkeypatch.setattr(ordering, "scratch_path", lambda s, name: written.append(name) or plain(s, name))
+    w = Window.partitionBy("customer_key").orderBy(
+        *[F.col(c).asc_nulls_last() for c in ("date_key", "order_id", "product_key", "store_key", "quantity", "revenue")])
+    got = all_previous_lines(star).select("customer_key", "order_id", "revenue", "previous_revenue", "previous_date_key")
+    want = star.fact_sales.select("customer_key", "order_id", "revenue", F.lag("revenue").over(w).alias("previous_revenue"),
+                                  F.lag("date_key").over(w).alias("previous_date_key"))
+    assert rows_of(got) == rows_of(want)
+    mean = F.avg("revenue").over(w.rowsBetween(-2, 0))
+    near = all_moving_averages(star).select("order_id", F.round(F.col("moving_avg").cast("double"), 1).alias("m"))
+    assert near.count() == star.fact_sales.count() and near.agg(F.sum("m")).first()[0] == pytest.approx(
+        star.fact_sales.select(mean.cast("double").alias("m")).agg(F.sum("m")).first()[0], rel=1e-4)
+    assert not written
