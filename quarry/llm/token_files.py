@@ -1,9 +1,10 @@
 """Token ids in canonical length-limited Huffman files.
 
 1. Texts are encoded by the tokenizers library. White space separates its words,
-   so a text is cut at blanks and line feeds (its special tokens have none), and
-   pieces met before come from a bounded memo of the Python worker; the library sees
-   each other piece.
+   so a text is cut at blanks and line feeds (its special tokens have none). Arrow
+   finds a batch's distinct pieces, lowers words and parts them from closing marks;
+   words met before come from a bounded memo of the Python worker, and the library
+   sees each other word or piece.
 2. Ranges of (doc_id, text hash) from approximate quantiles number the parts of
    the file; ids are shuffled there once, sorted, and packed into blocks of whole
    documents. The blocks are stored (ids compressed).
@@ -28,7 +29,6 @@ from __future__ import annotations
 
 import os
 import re
-import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -49,10 +49,13 @@ END = 2
 LIMIT = 16
 STRIDE = 128
 BLOCK = 1 << 18
-MEMO = 400_000
+MEMO = 250_000
 PIECE = 1 << 23  # bytes of text that are cut and encoded at once
-_MARKS = (",", ".")
-#: Pieces whose characters the library's NFC keeps, with the same lower case in any context.
+#: ASCII symbols that close a word; the library parts letters from them. An apostrophe may open a contraction.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_BEFORE_MARKS = "^.*[^" + re.escape(_MARKS) + "]"
+#: Letters that the library's NFC keeps, with one lower case in any context.
+_WORD = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u0148\u014a-\u017e]+$"
 _SIMPLE = re.compile("[\x21-\x7e\xa1-\u012f\u0132-\u017f]+")
 
 
@@ -67,13 +70,8 @@ def _byte_level() -> list[str]:
 _BYTE_LEVEL = _byte_level()
 
 
-def _letters(piece: str) -> bool:
-    """Letters only, also after the library's normalisation."""
-    return piece.isalpha() and (piece.isascii() or unicodedata.normalize("NFC", piece).lower().isalpha())
-
-
 class WordIds(dict):
-    """Memo piece without blanks -> its ids (16 bits each)."""
+    """Memo word or other piece without blanks -> its ids (16 bits each)."""
 
     def __init__(self, path: str, memo: int = MEMO):
         super().__init__()
@@ -81,13 +79,8 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        # the library reads these in a text as one id each, in this case only
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.memo, self.old = memo, {}
         self[""] = b""
-        self.marks = {"": b""}
-        for m in _MARKS:
-            self.marks[m] = np.array(self.library.encode(m, add_special_tokens=False).ids, np.uint16).tobytes()
         self.model = self.library.model
         if self.library.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits")
@@ -106,49 +99,55 @@ class WordIds(dict):
         for p, e in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self[p] = array("H", e.ids).tobytes()
 
-    def _resolve(self, pieces: list[str]) -> None:
-        """Put ``pieces`` into the memo. Letters with one lower case everywhere are lowered, and
-        the library parts letters from one closing mark, so such forms come from the bare word."""
-        todo, forms, old = set(), [], self.old
-        for p in pieces:
-            if p in old:
-                self[p] = old[p]
-                continue
-            mark = p[-1] if p[-1] in _MARKS and _letters(p[:-1]) else ""
-            bare = p[:-1] if mark else p
-            if not bare.islower() and (bare.isascii() or _SIMPLE.fullmatch(bare)):
-                low = bare.lower()
-                bare = low if not any(s in low for s in self.special) else bare
-            if bare != p:
-                forms.append((p, bare, mark))
-            if bare not in self:
-                if bare in old:
-                    self[bare] = old[bare]
-                else:
-                    todo.add(bare)
-        if todo:
-            self._learn(list(todo))
-        for p, bare, mark in forms:
-            self[p] = self[bare] + self.marks[mark]
+    def _known(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each of the distinct ``pieces``; the memo keeps them."""
+        found, old = list(map(self.get, pieces)), self.old
+        new = [p for p, x in zip(pieces, found, strict=True) if x is None]
+        if not new:
+            return found
+        learn = []
+        for p, x in zip(new, map(old.get, new), strict=True):
+            if x is None:
+                learn.append(p)
+            else:
+                self[p] = x
+        if learn:
+            self._learn(learn)
+        return [self[p] if x is None else x for p, x in zip(pieces, found, strict=True)]
+
+    def _ids_of(self, pieces: pa.Array) -> pa.Array:
+        """Ids of distinct pieces as bytes. A word with closing marks is its lower-case letters and
+        then the marks, which Arrow takes apart, so the memo is asked once a word and not once a form."""
+        bare = pc.utf8_rtrim(pieces, characters=_MARKS)
+        plain = pc.match_substring_regex(bare, _WORD)
+        words = pc.if_else(plain, pc.utf8_lower(bare), pieces).dictionary_encode()
+        found = self._looked_up(words)
+        at = pc.indices_nonzero(pc.and_(plain, pc.less(pc.binary_length(bare), pc.binary_length(pieces))))
+        if not len(at):
+            return found
+        tails = pc.replace_substring_regex(pieces.take(at), _BEFORE_MARKS, "").dictionary_encode()
+        whole = pc.binary_join_element_wise(found.take(at), self._looked_up(tails), b"")
+        order = np.arange(len(pieces))
+        order[at.to_numpy()] = len(pieces) + np.arange(len(at))
+        return pa.concat_arrays([found, whole]).take(pa.array(order))
+
+    def _looked_up(self, coded: pa.DictionaryArray) -> pa.Array:
+        known = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        return pa.array(known, pa.binary()).take(coded.indices)
 
     def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and how many each text has. Texts are cut and their distinct
-        pieces found by Arrow; the memo is asked once a piece."""
+        pieces found by Arrow."""
         if len(self) > self.memo:
+            self.old = {}
             self.old = dict(self)
             self.clear()
             self[""] = b""
         cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = cut.flatten().dictionary_encode()
-        met = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        found = list(map(self.get, met))
-        new = [p for p, x in zip(met, found, strict=True) if x is None]
-        if new:
-            self._resolve(new)
-            found = [self[p] if x is None else x for p, x in zip(met, found, strict=True)]
-        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 2, dtype=np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)),
-                                         pa.array(np.frombuffer(b"".join(found), np.uint16)))
+        raw = self._ids_of(coded.dictionary)
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(raw).to_numpy() // 2)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.Array.from_buffers(pa.uint16(), int(ends[-1]), [None, raw.buffers()[2]]))
         ids = lists.take(coded.indices)
         total = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy(), dtype=np.int64)])
         edge = cut.offsets.to_numpy()
